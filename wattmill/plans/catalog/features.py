@@ -43,7 +43,7 @@ def staged_target(spark, sf):
 @query(
     "usage_city_year",
     f"""WITH {SILVER_SQL}, cy AS (SELECT city, year, avg(consume_per_conn) AS m, count(*) AS n FROM silver GROUP BY city, year)
-SELECT cy.city, cy.year, round(cy.m + 1e-10, 6) AS mean_kwh, cy.n AS n_rows, round(p.m + 1e-10, 6) AS last_year_mean_kwh
+SELECT cy.city, cy.year, round(cy.m + 1e-8, 4) AS mean_kwh, cy.n AS n_rows, round(p.m + 1e-8, 4) AS last_year_mean_kwh
 FROM cy LEFT JOIN cy p ON p.city = cy.city AND p.year = cy.year - 1""",
 )
 def usage_city_year(spark, sf):
@@ -57,9 +57,9 @@ def usage_city_year(spark, sf):
     return means.select(
         "city",
         "year",
-        settled(F.col("mean")).alias("mean_kwh"),
+        settled(F.col("mean"), 4).alias("mean_kwh"),
         "n_rows",
-        settled(F.avg("mean").over(before)).alias("last_year_mean_kwh"),
+        settled(F.avg("mean").over(before), 4).alias("last_year_mean_kwh"),
     )
 
 
@@ -119,61 +119,61 @@ def trend_features(spark, sf):
 
 @query(
     "group_mean_city",
-    f"WITH {TARGET_SQL} SELECT city, round(avg(consume_per_conn) + 1e-10, 6) AS mean, count(*) AS n_rows FROM t GROUP BY city",
+    f"WITH {TARGET_SQL} SELECT city, round(avg(consume_per_conn) + 1e-8, 4) AS mean, count(*) AS n_rows FROM t GROUP BY city",
 )
 def group_mean_city(spark, sf):
-    return rounded(X.group_means(with_target(spark, sf), ["city"]), ["mean"])
+    return rounded(X.group_means(with_target(spark, sf), ["city"]), ["mean"], 4)
 
 
 @query(
     "group_mean_city_year",
-    f"""WITH {TARGET_SQL} SELECT city, year, round(avg(consume_per_conn) + 1e-10, 6) AS mean, count(*) AS n_rows
+    f"""WITH {TARGET_SQL} SELECT city, year, round(avg(consume_per_conn) + 1e-8, 4) AS mean, count(*) AS n_rows
   FROM t GROUP BY city, year""",
 )
 def group_mean_city_year(spark, sf):
-    return rounded(X.group_means(with_target(spark, sf), ["city", "year"]), ["mean"])
+    return rounded(X.group_means(with_target(spark, sf), ["city", "year"]), ["mean"], 4)
 
 
 @query(
     "group_mean_year",
-    f"WITH {TARGET_SQL} SELECT year, round(avg(consume_per_conn) + 1e-10, 6) AS mean, count(*) AS n_rows FROM t GROUP BY year",
+    f"WITH {TARGET_SQL} SELECT year, round(avg(consume_per_conn) + 1e-8, 4) AS mean, count(*) AS n_rows FROM t GROUP BY year",
 )
 def group_mean_year(spark, sf):
-    return rounded(X.group_means(with_target(spark, sf), ["year"]), ["mean"])
+    return rounded(X.group_means(with_target(spark, sf), ["year"]), ["mean"], 4)
 
 
 _LAGS = ["city_lag1_mean", "city_lag2_mean", "city_rolling_mean3", "national_year_mean", "city_vs_national"]
-_LAG_LIST = ", ".join(f"round({c} + 1e-10, 6) AS {c}" for c in _LAGS)
+_LAG_LIST = ", ".join(f"round({c} + 1e-8, 4) AS {c}" for c in _LAGS)
 
 
 @query("lag_columns", f"WITH {LAG_SQL} SELECT order_key, line, part_key, supp_key, {_LAG_LIST} FROM lagged")
 def lag_columns(spark, sf):
-    return rounded(X.lag_features(staged_target(spark, sf), fill=False).select(*KEY, *_LAGS), _LAGS)
+    return rounded(X.lag_features(staged_target(spark, sf), fill=False).select(*KEY, *_LAGS), _LAGS, 4)
 
 
 @query(
     "lag_filled",
     f"""WITH {LAG_SQL}, m AS (SELECT quantile_cont(consume_per_conn, 0.5) AS med FROM t)
-SELECT order_key, line, part_key, supp_key, round(coalesce(city_lag1_mean, med) + 1e-10, 6) AS city_lag1_mean,
-  round(coalesce(city_lag2_mean, med) + 1e-10, 6) AS city_lag2_mean, round(coalesce(city_rolling_mean3, med) + 1e-10, 6) AS city_rolling_mean3,
-  round(coalesce(city_vs_national, 0) + 1e-10, 6) AS city_vs_national FROM lagged, m""",
+SELECT order_key, line, part_key, supp_key, round(coalesce(city_lag1_mean, med) + 1e-8, 4) AS city_lag1_mean,
+  round(coalesce(city_lag2_mean, med) + 1e-8, 4) AS city_lag2_mean, round(coalesce(city_rolling_mean3, med) + 1e-8, 4) AS city_rolling_mean3,
+  round(coalesce(city_vs_national, 0) + 1e-8, 4) AS city_vs_national FROM lagged, m""",
 )
 def lag_filled(spark, sf):
     names = [*X.LAG_COLUMNS, "city_vs_national"]
-    return rounded(X.lag_features(staged_target(spark, sf)).select(*KEY, *names), names)
+    return rounded(X.lag_features(staged_target(spark, sf)).select(*KEY, *names), names, 4)
 
 
 @query(
     "lag_filled_train_fit",
     f"""WITH {LAG_SQL}, m AS (SELECT quantile_cont(consume_per_conn, 0.5) AS med FROM t WHERE year <= 1999)
-SELECT order_key, line, part_key, supp_key, round(coalesce(city_lag1_mean, med) + 1e-10, 6) AS city_lag1_mean,
-  round(coalesce(city_lag2_mean, med) + 1e-10, 6) AS city_lag2_mean, round(coalesce(city_rolling_mean3, med) + 1e-10, 6) AS city_rolling_mean3,
-  round(coalesce(city_vs_national, 0) + 1e-10, 6) AS city_vs_national FROM lagged, m""",
+SELECT order_key, line, part_key, supp_key, round(coalesce(city_lag1_mean, med) + 1e-8, 4) AS city_lag1_mean,
+  round(coalesce(city_lag2_mean, med) + 1e-8, 4) AS city_lag2_mean, round(coalesce(city_rolling_mean3, med) + 1e-8, 4) AS city_rolling_mean3,
+  round(coalesce(city_vs_national, 0) + 1e-8, 4) AS city_vs_national FROM lagged, m""",
 )
 def lag_filled_train_fit(spark, sf):
     names = [*X.LAG_COLUMNS, "city_vs_national"]
     rows = staged_target(spark, sf)
-    return rounded(X.lag_features(rows, fit=rows.where(F.col("year") <= 1999)).select(*KEY, *names), names)
+    return rounded(X.lag_features(rows, fit=rows.where(F.col("year") <= 1999)).select(*KEY, *names), names, 4)
 
 
 @query(
