@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wattmill.functions.binding import let
+
 # Character classes and patterns that decide results.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -64,8 +66,10 @@ def lines(text: Column) -> Column:
 
 
 def _drop_ids(text: Column) -> Column:
+    """Remove run-id mentions, then hex ids that stand alone. Both patterns begin with a
+    plain character test; the look-behind only runs where that test holds."""
     text = F.regexp_replace(text, f"(?iu){RUN_ID_LINE}", "")
-    return F.regexp_replace(text, f"(?iu)(?<![{WORD}])[a-f0-9]{{32}}(?![{WORD}])", "")
+    return F.regexp_replace(text, f"[a-fA-F0-9](?<![{WORD}].)[a-fA-F0-9]{{31}}(?![{WORD}])", "")
 
 
 def redact(text: Column) -> Column:
@@ -118,12 +122,15 @@ def is_internal(text: Column) -> Column:
 
 def is_bogus(answer: Column) -> Column:
     """Empty answers, echoed tool names and leaked planning text."""
-    low = F.lower(strip_artifacts(answer))
-    bad = (F.length(low) == 0) | low.isin(*BOGUS_ANSWERS)
-    for tag in THINKING_TAGS:
-        bad = bad | low.contains(f"<{tag}>")
-    bad = bad | (low.contains("chame a ferramenta") & low.contains("search"))
-    return bad | low.contains("minha primeira ação") | low.contains("query será")
+
+    def judge(low: Column) -> Column:
+        bad = (F.length(low) == 0) | low.isin(*BOGUS_ANSWERS)
+        for tag in THINKING_TAGS:
+            bad = bad | low.contains(f"<{tag}>")
+        bad = bad | (low.contains("chame a ferramenta") & low.contains("search"))
+        return bad | low.contains("minha primeira ação") | low.contains("query será")
+
+    return let(F.lower(strip_artifacts(answer)), judge)
 
 
 def refine_answer(answer: Column) -> Column:
@@ -135,10 +142,13 @@ def refine_answer(answer: Column) -> Column:
 
 def cut_at_word(text: Column, limit: int = MAX_TEXT) -> Column:
     """Stripped text of at most ``limit`` characters, cut at the last blank before the limit."""
-    bare = strip(text)
-    from_end = F.instr(F.reverse(F.left(bare, F.lit(limit))), " ")
-    cut = F.when(from_end == 0, F.lit(limit)).otherwise(F.lit(limit) - from_end)
-    return F.when(F.length(bare) <= limit, bare).otherwise(strip(F.left(bare, cut)))
+
+    def cut(bare: Column) -> Column:
+        from_end = F.instr(F.reverse(F.left(bare, F.lit(limit))), " ")
+        place = F.when(from_end == 0, F.lit(limit)).otherwise(F.lit(limit) - from_end)
+        return F.when(F.length(bare) <= limit, bare).otherwise(strip(F.left(bare, place)))
+
+    return let(strip(text), cut)
 
 
 def document_title(text: Column) -> Column:
@@ -181,15 +191,15 @@ def bounded_pieces(text: Column, limit: int = MAX_CHUNK) -> Column:
 
 def is_low_value(text: Column) -> Column:
     """Chunks not worth indexing: short, placeholder, lone heading, or hardly more than a timestamp."""
-    bare = strip(text)
-    body = F.btrim(
-        F.regexp_replace(bare, rf"(?iud).*{TIMESTAMP_LINE}[^\n-]*", ""),
-        F.lit(" -"),
-    )
-    stamped = bare.rlike(rf"(?iu){TIMESTAMP_LINE}[{WS}]*\p{{Nd}}{{4}}")
-    return (
-        (F.length(bare) < MIN_CHUNK)
-        | bare.contains(PLACEHOLDER_MARK)
-        | bare.rlike(r"\A#+ [^\n]+\z")
-        | (stamped & (F.length(body) < MIN_TIMESTAMP_BODY))
-    )
+
+    def judge(bare: Column) -> Column:
+        body = F.btrim(F.regexp_replace(bare, rf"(?iud).*{TIMESTAMP_LINE}[^\n-]*", ""), F.lit(" -"))
+        stamped = bare.rlike(rf"(?iu){TIMESTAMP_LINE}[{WS}]*\p{{Nd}}{{4}}")
+        return (
+            (F.length(bare) < MIN_CHUNK)
+            | bare.contains(PLACEHOLDER_MARK)
+            | bare.rlike(r"\A#+ [^\n]+\z")
+            | (stamped & (F.length(body) < MIN_TIMESTAMP_BODY))
+        )
+
+    return let(strip(text), judge)

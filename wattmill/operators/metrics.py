@@ -63,10 +63,8 @@ def ranked(results: DataFrame, keys: Sequence[str] = ("mae", "rmse")) -> DataFra
 def gains(results: DataFrame, baseline: str, name: str = "model", columns: Sequence[str] = ("mae", "r2")) -> DataFrame:
     """Difference to the row named ``baseline``: error saved, fit gained."""
     base = results.where(F.col(name) == baseline).select(F.struct(*[F.col(c) for c in columns])).scalar()
-    signs = {"r2": 1}
-    return results.select(
-        name, *columns, *[((base[c] - F.col(c)) * -signs.get(c, -1)).alias(f"{c}_gain") for c in columns]
-    )
+    saved = {c: (F.col(c) - base[c]) if c == "r2" else (base[c] - F.col(c)) for c in columns}
+    return results.select(name, *columns, *[gain.alias(f"{c}_gain") for c, gain in saved.items()])
 
 
 def weight_grid(parts: int, step: float = WEIGHT_STEP) -> np.ndarray:

@@ -50,7 +50,8 @@ def _long_form(df: DataFrame, wanted: Mapping[str, tuple[Column, float]], by: Se
     return rows.where(F.col("x").isNotNull() & (F.col("hi").isNull() | (F.col("x") <= F.col("hi"))))
 
 
-def _pick(rows: DataFrame, probs: Mapping[str, float], by: Sequence[str]) -> DataFrame:
+def _pick(rows: DataFrame, places: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
+    """The values at ``places``: zero-based positions among the sorted values, fractions interpolate."""
     inside = F.col("lo").isNull() | (F.col("x") >= F.col("lo"))
     counted = rows.groupBy(*by, "name", F.when(inside, F.col("x")).alias("v")).agg(
         F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi")
@@ -61,10 +62,9 @@ def _pick(rows: DataFrame, probs: Mapping[str, float], by: Sequence[str]) -> Dat
     scaled = F.floor(F.signum("v") * F.log1p(F.abs("v")) * 16)
     block = F.when(F.col("v").isNotNull(), F.coalesce(linear, scaled)).cast("long")
     ranked = running_totals(counted, [*by, "name"], block, [F.col("v").asc_nulls_first()], {"upto": "c"})
-    prob = F.lit(None).cast("double")
-    for name, p in probs.items():
-        prob = F.when(F.col("name") == name, F.lit(float(p))).otherwise(prob)
-    pos = prob * (F.col("n") - 1)
+    pos = F.lit(None).cast("double")
+    for name, place in places.items():
+        pos = F.when(F.col("name") == name, place.cast("double")).otherwise(pos)
     low, high = F.floor(pos), F.ceil(pos)
     picked = ranked.groupBy(*by, "name").agg(
         F.first(pos - low).alias("frac"),
@@ -78,12 +78,26 @@ def _pick(rows: DataFrame, probs: Mapping[str, float], by: Sequence[str]) -> Dat
         F.raise_error(F.lit("quantile sketch missed its rank bound")).cast("double")
     )
     values = picked.select(*by, "name", value.alias("value"))
-    wide = [F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in probs]
+    wide = [F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in places]
     return values.groupBy(*by).agg(*wide) if by else values.agg(*wide)
 
 
+def _places(wanted: Mapping[str, tuple[Column, float]]) -> dict[str, Column]:
+    return {name: F.lit(float(p)) * (F.col("n") - 1) for name, (_, p) in wanted.items()}
+
+
 def quantiles(df: DataFrame, wanted: Mapping[str, tuple[Column, float]]) -> DataFrame:
     """One row with one exact quantile per entry of ``wanted`` (name -> expression, probability)."""
+    return _ranked_row(df, wanted, _places(wanted))
+
+
+def order_statistics(df: DataFrame, wanted: Mapping[str, tuple[Column, int]], rows: int) -> DataFrame:
+    """One row with the value at a zero-based index per entry; ``rows`` is the number of values."""
+    near = {name: (expr, index / max(rows - 1, 1)) for name, (expr, index) in wanted.items()}
+    return _ranked_row(df, near, {name: F.lit(float(index)) for name, (_, index) in wanted.items()})
+
+
+def _ranked_row(df: DataFrame, wanted: Mapping[str, tuple[Column, float]], places: Mapping[str, Column]) -> DataFrame:
     brackets = df.agg(F.struct(*[_bracket(e.cast("double"), p).alias(n) for n, (e, p) in wanted.items()]).alias("s"))
     found = brackets.scalar()
     carried = df.select(
@@ -91,7 +105,7 @@ def quantiles(df: DataFrame, wanted: Mapping[str, tuple[Column, float]]) -> Data
         *[found[n].alias(f"_b_{n}") for n in wanted],
     )
     renamed = {n: (F.col(f"_x_{n}"), p) for n, (_, p) in wanted.items()}
-    return _pick(_long_form(carried, renamed, []), {n: p for n, (_, p) in wanted.items()}, [])
+    return _pick(_long_form(carried, renamed, []), places, [])
 
 
 def quantile_value(df: DataFrame, expr: Column, prob: float) -> Column:
@@ -110,4 +124,4 @@ def grouped_quantiles(
     )
     carried = lookup(slim, brackets, by)
     renamed = {n: (F.col(f"_x_{n}"), p) for n, (_, p) in wanted.items()}
-    return _pick(_long_form(carried, renamed, by), {n: p for n, (_, p) in wanted.items()}, by)
+    return _pick(_long_form(carried, renamed, by), _places(wanted), by)

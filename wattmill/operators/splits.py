@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmill.functions.hashing import hash_number, row_key
-from wattmill.operators.quantiles import quantiles
+from wattmill.operators.quantiles import order_statistics
 
 # Shares, seed, folds, and the years a temporal split needs.
 SEED = 42
@@ -45,13 +45,11 @@ def _with_place(df: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
     return df.withColumn("_place", hash_number(row_key(key), seed, 13))
 
 
-def _order_cut(placed: DataFrame, ranks: dict[str, int], rows: int) -> dict[str, float]:
+def _order_cut(placed: DataFrame, ranks: dict[str, int], rows: int) -> dict[str, int]:
     """Hash values at the given 1-based ranks; -1 for rank 0."""
-    wanted = {
-        name: (F.col("_place"), 0.0 if rows == 1 else (rank - 1) / (rows - 1)) for name, rank in ranks.items() if rank > 0
-    }
-    found = quantiles(placed, wanted).first().asDict() if wanted else {}
-    return {name: round(found[name]) if name in found else -1 for name in ranks}
+    wanted = {name: (F.col("_place"), rank - 1) for name, rank in ranks.items() if rank > 0}
+    found = order_statistics(placed, wanted, rows).first().asDict() if wanted else {}
+    return {name: int(found[name]) if name in found else -1 for name in ranks}
 
 
 def exact_split(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:

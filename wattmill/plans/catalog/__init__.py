@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from wattmill.plans.catalog import cleaning, features, learning  # noqa: F401
+from wattmill.plans.catalog import cleaning, features, learning, models, text  # noqa: F401
