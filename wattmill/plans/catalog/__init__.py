@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from wattmill.plans.catalog import chat, cleaning, features, learning, models, text  # noqa: F401
+from wattmill.plans.catalog import chat, cleaning, features, layers, learning, models, text  # noqa: F401

@@ -242,7 +242,7 @@ def oldest_messages(spark, sf):
 @query(
     "confidence",
     f"""WITH {C.LINE_HIT_SQL}, d AS (SELECT response_id, avg(coalesce(distance, 0)) AS d, count(*) AS n FROM hits GROUP BY 1)
-SELECT 'o' || o_orderkey AS response_id, round(coalesce(greatest(0.0, least(1.0, 1 - d)), 0.0) + 1e-10, 6) AS confidence, coalesce(n, 0) AS hit_count
+SELECT 'o' || o_orderkey AS response_id, round(CASE WHEN d IS NULL THEN 0.0 ELSE greatest(0.0, least(1.0, 1 - d)) END + 1e-10, 6) AS confidence, coalesce(n, 0) AS hit_count
 FROM orders LEFT JOIN d ON response_id = 'o' || o_orderkey""",
 )
 def confidence(spark, sf):
@@ -323,7 +323,7 @@ def keyword_lines(spark, sf):
 
 @query(
     "fallback_answers",
-    f"""WITH {C.MENTION_SQL}, {C.LINE_SQL.split(', lined AS', 1)[1].join(['lined AS', ''])}, {C.QUESTION_SQL},
+    f"""WITH {C.MENTION_SQL}, {C.LINE_CTES}, {C.QUESTION_SQL},
 ml AS (SELECT response, string_agg(entry, '; ' ORDER BY hit_no, turn, place) AS m FROM (
    SELECT * FROM firsts QUALIFY row_number() OVER (PARTITION BY response ORDER BY hit_no, turn, place) <= 4) GROUP BY 1),
 sl AS (SELECT response, left(string_agg(snippet, ' ' ORDER BY hit_no, place), 400) AS s FROM (

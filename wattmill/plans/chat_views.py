@@ -189,10 +189,11 @@ def _mention(turn: int) -> str:
 MENTION_SQL = RUN_HIT_SQL + f""", mentions AS ({_mention(0)} UNION ALL {_mention(1)}),
 firsts AS (SELECT * FROM mentions WHERE NOT contains(lower(entry), 'duração') AND NOT contains(lower(entry), 'train_duration')
   QUALIFY row_number() OVER (PARTITION BY response, lower(entry) ORDER BY hit_no, turn, place) = 1)"""
-LINE_SQL = RUN_HIT_SQL + f""", lined AS (SELECT response, hit_no, k - 1 AS place, trim(ls[k], {_WS_SQL}) AS line FROM (
+LINE_CTES = f"""lined AS (SELECT response, hit_no, k - 1 AS place, trim(ls[k], {_WS_SQL}) AS line FROM (
    SELECT *, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT *, string_split(text, chr(10)) AS ls FROM rh))),
 cleaned AS (SELECT *, trim(ltrim(line, '-• '), {_WS_SQL}) AS snippet, regexp_matches(line, '\\A[-•]') AS bullet FROM lined
   WHERE line <> '' AND NOT starts_with(line, '|---') AND regexp_matches(lower(line),
     'limpeza|target encoding|standardscaler|normalização|pré-processamento|duplicat|outlier|removid')),
 snips AS (SELECT response, hit_no, place, snippet FROM cleaned
   QUALIFY bullet OR row_number() OVER (PARTITION BY response, snippet ORDER BY hit_no, place) = 1)"""
+LINE_SQL = RUN_HIT_SQL + ", " + LINE_CTES
