@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattmill.operators.lookup import lookup
 from wattmill.operators.splits import FOLDS
+from wattmill.session import pin
 
 # The categories that are encoded.
 ENCODED = ["city", "purchase_area", "net_manager"]
@@ -39,6 +40,7 @@ def global_mean(train: DataFrame, target: str = "log_target") -> Column:
 
 def encode(df: DataFrame, sums: DataFrame, default: Column, columns: Sequence[str] = ENCODED) -> DataFrame:
     """Add ``<column>_te``: the fitted mean of the row's category, ``default`` where there is none."""
+    sums = pin(sums)
     for column in columns:
         means = sums.where(F.col("feature") == column).select(
             F.col("category").alias(column), (F.col("total") / F.nullif(F.col("n"), F.lit(0))).alias("_mean"), "n"
@@ -71,11 +73,11 @@ def fold_encode(
     """
     train = df.where(F.col(split) == "train")
     sums = fit_target_means(train, columns, target, fold)
-    per_fold = sums.groupBy("feature", "category").agg(
+    per_fold = pin(sums.groupBy("feature", "category").agg(
         F.sum("total").alias("total"),
         F.sum("n").alias("n"),
         F.map_from_entries(F.collect_list(F.struct(F.col(fold), F.struct("total", "n")))).alias("by_fold"),
-    )
+    ))
     default = global_mean(train, target)
     for column in columns:
         part = per_fold.where(F.col("feature") == column).select(

@@ -12,6 +12,7 @@ from wattmill.functions.numeric import amperage, safe_ratio, share_of
 from wattmill.operators.cleaning import below_quantile, fill_lags, per_connection
 from wattmill.operators.lookup import lookup
 from wattmill.operators.quantiles import quantile_value
+from wattmill.session import pin
 
 TARGET = "consume_per_conn"
 LAG_COLUMNS = ["city_lag1_mean", "city_lag2_mean", "city_rolling_mean3"]
@@ -72,8 +73,10 @@ def city_year_history(df: DataFrame, city: str = "city", year: str = "year", val
     year finds a calendar lag (a gap gives null) without a self-join, a row
     frame finds the previous observed years, and both share one sort.
     """
-    grain = df.groupBy(city, year).agg(
-        F.sum(value).alias("total"), F.count(value).alias("filled"), F.count(F.lit(1)).alias("n_rows")
+    grain = pin(
+        df.groupBy(city, year).agg(
+            F.sum(value).alias("total"), F.count(value).alias("filled"), F.count(F.lit(1)).alias("n_rows")
+        )
     )
     national = grain.groupBy(year).agg((F.sum("total") / F.nullif(F.sum("filled"), F.lit(0))).alias("national_year_mean"))
     by_city = W.partitionBy(city).orderBy(year)

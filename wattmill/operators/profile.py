@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmill.operators.cleaning import as_long
-from wattmill.operators.quantiles import grouped_quantiles, quantiles
+from wattmill.operators.quantiles import grouped_quantiles, quantile_value, quantiles
 
 # The two percentile lists in use, and the histogram sizes.
 SUMMARY_PERCENTILES = [0.25, 0.5, 0.75, 0.95, 0.99]
@@ -143,7 +143,7 @@ def agreement(df: DataFrame, given: Column, recomputed: Column) -> DataFrame:
 def target_summary(train: DataFrame, column: str = "log_target") -> DataFrame:
     """Training-target statistics in log space, and mean and median back in kWh."""
     y = F.col(column)
-    half = quantiles(train, {"q": (y, 0.5)}).scalar()
+    half = quantile_value(train, y, 0.5)
     return train.agg(
         F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"),
         F.expm1(F.avg(y)).alias("mean_kwh"),

@@ -24,10 +24,17 @@ BRACKET_BLOCKS = 1_000
 
 
 def _bracket(value: Column, prob: float) -> Column:
-    slack = 2.0 / SKETCH_ACCURACY
+    """Number of values, and two values that enclose the wanted rank and its neighbour.
+
+    The sketch may be off by ``1 / SKETCH_ACCURACY`` of the rows; four times that
+    on either side is more than error and neighbour together once there are more
+    than ``SKETCH_ACCURACY`` rows. Fewer rows need no bracket.
+    """
+    slack = 4.0 / SKETCH_ACCURACY
     ends = F.percentile_approx(value, [max(0.0, prob - slack), min(1.0, prob + slack)], SKETCH_ACCURACY)
-    low = F.lit(None).cast("double") if prob - slack <= 0 else ends[0]
-    high = F.lit(None).cast("double") if prob + slack >= 1 else ends[1]
+    many = F.count(value) > SKETCH_ACCURACY
+    low = F.lit(None).cast("double") if prob - slack <= 0 else F.when(many, ends[0])
+    high = F.lit(None).cast("double") if prob + slack >= 1 else F.when(many, ends[1])
     return F.struct(F.count(value).alias("n"), low.alias("lo"), high.alias("hi"))
 
 
@@ -109,8 +116,8 @@ def _ranked_row(df: DataFrame, wanted: Mapping[str, tuple[Column, float]], place
 
 
 def quantile_value(df: DataFrame, expr: Column, prob: float) -> Column:
-    """The same as a scalar subquery, for use inside filters and projections."""
-    return quantiles(df, {"q": (expr, prob)}).scalar()
+    """The same as a literal: one number is read back, and filters on it reach the file scan."""
+    return F.lit(quantiles(df, {"q": (expr, prob)}).first()["q"]).cast("double")
 
 
 def grouped_quantiles(

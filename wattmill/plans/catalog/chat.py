@@ -12,7 +12,7 @@ from wattmill.plans import chat_views as C
 from wattmill.plans.registry import query
 from wattmill.plans.rounding import settled
 from wattmill.plans.text_views import sql_redact, sql_sanitize, sql_strip, sql_strip_artifacts
-from wattmill.plans.views import table
+from wattmill.plans.views import table, texts
 
 
 # --- the current turn -------------------------------------------------------------------------------
@@ -292,7 +292,7 @@ def tool_hits(spark, sf):
         .when(F.col("lang") == "fr", F.to_json(hit))
         .otherwise(F.concat(F.lit(" ["), F.to_json(flat), F.lit("]")))
     )
-    docs = table(spark, sf, "documents").select("doc_id", content.alias("content"))
+    docs = texts(spark, sf).select("doc_id", content.alias("content"))
     return docs.select("doc_id", F.explode(V.flat_hits(V.parse_hits(F.col("content")))).alias("h")).select("doc_id", "h.*")
 
 
@@ -384,7 +384,7 @@ def bucketed_top_k(spark, sf):
 
 @query("embed_words")
 def embed_words(spark, sf):
-    return V.embed_words(table(spark, sf, "documents")).select("doc_id", F.size("text_vector").alias("dim"))
+    return V.embed_words(texts(spark, sf)).select("doc_id", F.size("text_vector").alias("dim"))
 
 
 @query(
@@ -392,6 +392,6 @@ def embed_words(spark, sf):
     """SELECT doc_id, length(text) <= 1024 AS accepted FROM documents""",
 )
 def split_rejects(spark, sf):
-    rows = V.embed_words(table(spark, sf, "documents"))
+    rows = V.embed_words(texts(spark, sf))
     good, bad = V.split_rejects(rows)
     return good.select("doc_id", F.lit(True).alias("accepted")).unionByName(bad.select("doc_id", F.lit(False).alias("accepted")))

@@ -13,7 +13,7 @@ from wattmill.plans.text_views import (
     ANSWERS_SQL, EXPERIMENT, MARKDOWN_SQL, PIECE_SQL, PROJECT, RUNS_SQL, SECTION_SQL, markdown_docs, raw_answers,
     runs_wide, sql_cut_at_word, sql_drop_ids, sql_redact, sql_sanitize, sql_strip, sql_strip_artifacts, sql_unify_lines,
 )
-from wattmill.plans.views import table
+from wattmill.plans.views import table, texts
 
 _TITLE = sql_strip(f"regexp_extract({sql_unify_lines('section')}, '(?m)^#{{2,3}}[{T.WS_IN_LINE}]([^\\n]*)', 1)")
 
@@ -40,7 +40,7 @@ def document_heads(spark, sf):
 SELECT id AS doc_id, CAST(piece_no AS INTEGER) AS piece_no, piece FROM pieces WHERE piece_no >= 0""",
 )
 def bounded_pieces(spark, sf):
-    return K.pieces(table(spark, sf, "documents"), ["doc_id"])
+    return K.pieces(texts(spark, sf), ["doc_id"])
 
 
 _KEYWORD = "CASE " + " ".join(
@@ -79,7 +79,7 @@ def low_value_flags(spark, sf):
     f"SELECT doc_id, {sql_cut_at_word('text')} AS short FROM documents",
 )
 def cut_at_word(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.cut_at_word(F.col("text")).alias("short"))
+    return texts(spark, sf).select("doc_id", T.cut_at_word(F.col("text")).alias("short"))
 
 
 @query(
@@ -103,7 +103,7 @@ UNION ALL SELECT f.doc_id, {sql_strip("array_to_string(open, chr(10))")} FROM fo
 WHERE i = len(ls) AND {sql_strip("array_to_string(open, chr(10))")} <> ''""",
 )
 def line_chunks(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.explode(K.line_chunks(F.col("text"))).alias("chunk"))
+    return texts(spark, sf).select("doc_id", F.explode(K.line_chunks(F.col("text"))).alias("chunk"))
 
 
 # --- runs -----------------------------------------------------------------------------------------
@@ -266,7 +266,7 @@ SELECT id, kind, regexp_matches(text, '(?i){T.NEEDS_SEARCH}') AS needs_search, r
   regexp_matches(text, '(?i){T.ASKS_PREPARATION}') AS asks_preparation FROM q""",
 )
 def question_classes(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.lit("doc").alias("kind"), "text")
+    docs = texts(spark, sf).select(F.col("doc_id").alias("id"), F.lit("doc").alias("kind"), "text")
     turn = F.col("turn")
     word = F.when(turn == 0, "RMSE").when(turn == 2, "PRÉ-PROCESSAMENTO").when(turn == 4, "tempo").otherwise("Métrica")
     chat = table(spark, sf, "conversations").select(

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmill.functions import text as T
-from wattmill.plans.views import table
+from wattmill.plans.views import table, texts
+from wattmill.session import spread
 
 PROJECT = "consumo"
 EXPERIMENT = "treino"
@@ -70,7 +71,7 @@ def markdown_docs(spark: SparkSession, sf: str) -> DataFrame:
     body = F.col("text")
     for letter, heading in HEADINGS.items():
         body = F.regexp_replace(body, f"\n({letter})", f"\n{heading}\n$1")
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf).select(
         "doc_id",
         F.when(F.col("lang") == "en", "mlflow_metadata").when(F.col("lang") == "fr", "silver_governance")
         .otherwise("gold_governance").alias("source"),
@@ -109,7 +110,7 @@ PIECE_SQL = f"""pieces AS (
 def runs_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as a wide run table with dotted metric and parameter columns and gaps."""
     price, status, rank = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("o_orderpriority")
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         F.md5(F.concat(F.lit("run"), F.col("o_orderkey").cast("string"))).alias("run_id"),
         F.col("o_custkey").alias("response_key"),
         F.when(status == "F", "FINISHED").when(status == "O", "RUNNING").otherwise("FAILED").alias("status"),

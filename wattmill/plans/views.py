@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattmill.session import spread
+
 KEY = ["order_key", "line", "part_key", "supp_key"]
 PLAIN = [
     "net_manager", "purchase_area", "city", "num_connections", "delivery_perc",
@@ -21,9 +23,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """``documents`` on all cores, for work that costs more per row than reading it."""
+    return spread(table(spark, sf, "documents"))
+
+
 def usage(spark: SparkSession, sf: str) -> DataFrame:
     """Clean consumption rows with the key of the line they come from."""
-    line = table(spark, sf, "lineitem")
+    line = spread(
+        table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+        )
+    )
     order = table(spark, sf, "orders")
     customer = table(spark, sf, "customer")
     nation = table(spark, sf, "nation")

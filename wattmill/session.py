@@ -75,3 +75,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan with fewer splits than cores, dealt out to all of them.
+
+    A file with a single row group is a single split and would keep everything
+    that follows on one core. Larger inputs have splits enough and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
