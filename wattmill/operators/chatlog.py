@@ -215,6 +215,12 @@ def chat_facts(responses: DataFrame, chat: str, pos: str) -> DataFrame:
     return totals.select(*responses.columns, *sums)
 
 
+def fact_rows(responses: DataFrame, hits: DataFrame, chat: str, pos: str) -> DataFrame:
+    """One fact per response: its tokens, the chat's totals so far, user messages so far, confidence and hit count."""
+    totals = chat_facts(responses, chat, pos)
+    return totals.join(confidences(responses, hits), "response_id", "left")
+
+
 def chat_titles(events: DataFrame) -> DataFrame:
     """Latest title and time per chat from ``(chat_id, event_at, title)``; a null title only touches."""
     return events.groupBy("chat_id").agg(

@@ -209,6 +209,25 @@ def chat_facts(spark, sf):
     )
 
 
+@query(
+    "response_facts",
+    f"""WITH {C.CHAT_SQL}, h AS (SELECT 'r' || (l_orderkey // 8) || '-' || (l_orderkey % 8) AS response_id, avg(l_discount * 8) AS d, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT r.response_id, input_tokens, output_tokens, total_tokens, CAST(sum(total_tokens) OVER w AS BIGINT) AS chat_total_tokens,
+  CAST(count(*) OVER w AS BIGINT) AS message_count, round(CASE WHEN d IS NULL THEN 0.0 ELSE greatest(0.0, least(1.0, 1 - d)) END + 1e-10, 6) AS confidence,
+  coalesce(n, 0) AS hit_count FROM responses r LEFT JOIN h USING (response_id) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
+)
+def response_facts(spark, sf):
+    key = F.col("l_orderkey")
+    hits = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("r"), F.floor(key / 8).cast("string"), F.lit("-"), (key % 8).cast("string")).alias("response_id"),
+        (F.col("l_discount") * 8).alias("distance"),
+    )
+    facts = L.fact_rows(C.responses(spark, sf), hits, "conv_id", "turn").withColumn("confidence", settled(F.col("confidence")))
+    return facts.select(
+        "response_id", "input_tokens", "output_tokens", "total_tokens", "chat_total_tokens", "message_count", "confidence", "hit_count"
+    )
+
+
 @query(
     "running_event_value",
     """SELECT event_id, user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS cents FROM events""",

@@ -11,7 +11,6 @@ from wattmill.operators import models as L
 from wattmill.operators import reports as P
 from wattmill.operators import runs as R
 from wattmill.operators import splits as S
-from wattmill.plans import chat_views as V
 from wattmill.plans import indexing
 from wattmill.plans import medallion as M
 from wattmill.plans.catalog.cleaning import ALL, CASCADE_SQL, SILVER_SQL
@@ -20,7 +19,7 @@ from wattmill.plans.catalog.text import CHUNK_SQL, CHUNKS_SQL, _LOW
 from wattmill.plans.registry import query
 from wattmill.plans.rounding import rounded
 from wattmill.plans.text_views import EXPERIMENT, PROJECT, RUNS_SQL, markdown_docs, runs_wide, sql_cut_at_word
-from wattmill.plans.views import KEY, PLAIN, USAGE_SQL, usage, usage_dirty
+from wattmill.plans.views import KEY, PLAIN, USAGE_SQL, texts, usage, usage_dirty
 from wattmill.session import scratch_path, stage
 from wattmill.sources import files as D
 from wattmill.sources import layers as W
@@ -206,6 +205,18 @@ def append_run_history(spark, sf):
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("run_id").alias("runs"))
 
 
+@query(
+    "change_detection",
+    "SELECT doc_id FROM documents WHERE lang = 'fr'",
+)
+def change_detection(spark, sf):
+    """Documents whose fingerprint differs from the last one stored; the others are skipped."""
+    stored = texts(spark, sf).select("doc_id", F.sha2("text", 256).alias("fingerprint"))
+    edited = F.when(F.col("lang") == "fr", F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    now = texts(spark, sf).select("doc_id", F.sha2(edited, 256).alias("fingerprint"))
+    return now.join(stored, ["doc_id", "fingerprint"], "left_anti").select("doc_id")
+
+
 # --- reports ----------------------------------------------------------------------------------------
 _CASCADE_ITEMS = [
     "initial_rows", "removed_duplicates", "removed_invalid_consume", "removed_invalid_connections",

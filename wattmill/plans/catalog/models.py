@@ -135,3 +135,15 @@ def run_record(spark, sf):
         p["algorithm"].alias("algorithm"), p["n_features"].alias("n_features"), p["n_train"].alias("n_train"),
         p["n_val"].alias("n_val"), p["n_test"].alias("n_test"), F.size("metrics").alias("n_metrics"),
     )
+
+
+@query("experiment")
+def experiment(spark, sf):
+    """The exploration run end to end over all usage rows: lags, temporal split, encoders, models, blend, ranking."""
+    from wattmill.plans import experiment as E
+    from wattmill.plans.views import usage
+
+    rows, names = E.model_rows(usage(spark, sf))
+    chosen = {"Ridge": L.RIDGE, "Lasso": L.LASSO, "GBT": L.EARLY_STOP_GBT.but(trees=5, rate=0.1, depth=5)}
+    ranked = E.compare(rows, names, chosen, ["Ridge", "Lasso", "GBT"])
+    return rounded(ranked, _ERRS, 4).select("model", *_ERRS, "rank")

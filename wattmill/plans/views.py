@@ -111,8 +111,9 @@ def usage_dirty(spark: SparkSession, sf: str) -> DataFrame:
         F.when((line == 1) & (disc > 95), F.lit(-1.0)).otherwise(tax).alias("smartmeter_perc"),
         "year",
     )
-    copies = bad.where((F.col("net_manager") == "BUILDING") & (F.col("line") == 2))
-    return bad.unionByName(copies)
+    twice = (F.col("net_manager") == "BUILDING") & (F.col("line") == 2)
+    copies = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return bad.select("*", F.explode(copies).alias("copy")).drop("copy")
 
 
 DIRTY_SQL = USAGE_SQL + """, bad AS (
