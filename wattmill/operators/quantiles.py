@@ -123,9 +123,21 @@ def quantile_value(df: DataFrame, expr: Column, prob: float) -> Column:
 def grouped_quantiles(
     df: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[Column, float]]
 ) -> DataFrame:
-    """Exact quantiles per group; groups with no value at all are left out."""
+    """Exact quantiles per group; groups with no value at all are left out.
+
+    When no group has more values than the sketch would bracket, the plain
+    aggregate has small buffers and is used; one count decides that.
+    """
     by = list(by)
     slim = df.select(*by, *[e.cast("double").alias(f"_x_{n}") for n, (e, _) in wanted.items()])
+    sizes = slim.groupBy(*by).agg(F.greatest(F.lit(0), *[F.count(f"_x_{n}") for n in wanted]).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest <= SKETCH_ACCURACY:
+        small = slim.groupBy(*by).agg(
+            F.greatest(F.lit(0), *[F.count(f"_x_{n}") for n in wanted]).alias("_n"),
+            *[F.percentile(f"_x_{n}", p).alias(n) for n, (_, p) in wanted.items()],
+        )
+        return small.where(F.col("_n") > 0).drop("_n")
     brackets = slim.groupBy(*by).agg(
         *[_bracket(F.col(f"_x_{n}"), p).alias(f"_b_{n}") for n, (_, p) in wanted.items()]
     )

@@ -177,12 +177,11 @@ UNION ALL SELECT 'mlflow:' || run_id || ':' || section, {sql_cut_at_word('text')
 
 @query("index_build", INDEX_SQL)
 def index_build(spark, sf):
-    """Documents and newest runs to embedded chunks, written replace-all twice; readers see one version."""
+    """Newest runs, then documents and newest runs, to embedded chunks, each written replace-all; readers see the last."""
     root = scratch_path(spark, "index")
     docs, history = markdown_docs(spark, sf), R.from_wide(runs_wide(spark, sf))
-    made = indexing.build_index(docs, history, PROJECT, EXPERIMENT)
-    W.replace_all(made.limit(1), root)
-    W.replace_all(made, root)
+    W.replace_all(indexing.build_index(None, history, PROJECT, EXPERIMENT), root)
+    W.replace_all(indexing.build_index(docs, history, PROJECT, EXPERIMENT), root)
     return W.read_current(spark, root).select("id", "text", "source", F.size("text_vector").alias("dim"))
 
 
