@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattmill.llm import bpe, mixing, neardup, quality
+from wattmill.llm import bpe, licences, mixing, neardup, quality
 from wattmill.llm.common import table
 from wattmill.plans.registry import query
 
@@ -69,3 +69,57 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents").select("doc_id", "source"))
+
+
+def _licence_sql() -> str:
+    notices = ", ".join(f"({i}, '{name}', '{notice}')" for i, (name, notice) in enumerate(licences.TEMPLATES))
+    lowered = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    cut = lambda x: f"list_filter(string_split_regex({lowered.format(x)}, '{licences.TERMS}'), lambda t: t <> '')"
+    return f"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(text, '') AS text, concat_ws('/', source, lang, (doc_id // 50)::VARCHAR) AS dir FROM documents
+    ), templates(no, licence, notice) AS (VALUES {notices}),
+    template_terms AS (SELECT no, term, count(*) AS n FROM (SELECT no, unnest({cut('notice')}) AS term FROM templates) GROUP BY ALL),
+    held AS (SELECT doc_id, unnest(list_distinct({cut('text')})) AS term FROM docs),
+    weights AS (
+        SELECT term, ln((1 + (SELECT count(*) FROM docs)) / (1 + count(doc_id))) + 1 AS idf
+        FROM (SELECT DISTINCT term FROM template_terms) LEFT JOIN held USING (term) GROUP BY term
+    ), lines AS (
+        SELECT * FROM (SELECT doc_id, dir, len({cut('text')}) AS words, unnest(string_split(text, chr(10))) AS line FROM docs)
+        WHERE regexp_matches({lowered.format('line')}, '{licences.ANCHORS}')
+    ), line_terms AS (
+        SELECT line, term, count(*) * coalesce(idf, ln(1 + (SELECT count(*) FROM docs)) + 1) AS w
+        FROM (SELECT line, unnest({cut('line')}) AS term FROM (SELECT DISTINCT line FROM lines)) LEFT JOIN weights USING (term) GROUP BY line, term, idf
+    ), vectors AS (SELECT no, term, n * idf AS v FROM template_terms JOIN weights USING (term)),
+    cosines AS (
+        SELECT line, no, sum(w * v) / sqrt(any_value(l.square) * any_value(t.square)) AS score
+        FROM line_terms JOIN vectors USING (term)
+        JOIN (SELECT line, sum(w * w) AS square FROM line_terms GROUP BY line) l USING (line)
+        JOIN (SELECT no, sum(v * v) AS square FROM vectors GROUP BY no) t USING (no) GROUP BY line, no
+    ), best AS (
+        SELECT line, licence, score FROM cosines JOIN templates USING (no)
+        WHERE score >= {licences.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY line ORDER BY round(score, 9) DESC, no) = 1
+    ), matched AS (
+        SELECT DISTINCT doc_id, dir, words, line, licence, score, len({cut('line')}) AS in_line FROM lines JOIN best USING (line)
+    ), own AS (
+        SELECT doc_id, dir, arg_max(licence, (round(score, 9), licence)) AS licence, max(score) AS score, 2 * sum(in_line) >= max(words) AS file
+        FROM matched GROUP BY doc_id, dir
+    ), held_by AS (
+        SELECT dir, arg_max(licence, (round(score, 9), -doc_id)) AS licence FROM own WHERE file GROUP BY dir
+    )
+    SELECT d.doc_id, coalesce(o.licence, h.licence) AS licence,
+        CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN h.licence IS NOT NULL THEN 'inherited' END AS origin,
+        CASE WHEN o.licence IS NULL THEN h.dir END AS directory
+    FROM docs d LEFT JOIN own o USING (doc_id)
+    LEFT JOIN LATERAL (
+        SELECT dir, licence FROM held_by h WHERE h.dir = d.dir OR h.dir = '' OR starts_with(d.dir, h.dir || '/') ORDER BY length(h.dir) DESC LIMIT 1
+    ) h ON TRUE
+    """
+
+
+@query("op7_licences", _licence_sql())
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    fifty = F.floor(F.col("doc_id") / 50).cast("string")
+    path = F.concat_ws("/", "source", "lang", fifty, F.col("doc_id").cast("string"))
+    return licences.scan(docs, path).withColumnRenamed("id", "doc_id")
