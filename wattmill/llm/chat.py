@@ -75,12 +75,15 @@ def token_estimate(text: Column) -> Column:
     return (F.ceil(F.octet_length(text) / 4) + TURN_COST).cast("long")
 
 
-def plan_spans(tokens: np.ndarray, first: int, system: int, budget: int, history: int) -> list[tuple[int, int, int]]:
-    """Spans ``(context_start, start, end)`` over turns ``first..`` by prefix sums; earlier turns are context only."""
+def plan_spans(tokens: np.ndarray, first: int, system: int, owned: bool, budget: int, history: int) -> list[tuple[int, int, int]]:
+    """Spans ``(context_start, start, end)`` over turns ``first..`` by prefix sums; earlier turns are context only.
+
+    ``system`` tokens are repeated in every window but the first when that ``owned`` the system turn.
+    """
     ends = np.concatenate([[0], np.cumsum(tokens)])
     spans, at = [], first
     while at < len(tokens):
-        room = budget - (system if at > 0 or first > 0 else 0)
+        room = budget - (0 if owned and at == 0 else system)
         spare = min(history, max(0, room - int(tokens[at])))
         back = int(np.searchsorted(ends, ends[at] - spare, side="left"))
         left = room - int(ends[at] - ends[back])
@@ -98,7 +101,7 @@ def _format(key: tuple, turns: list[tuple[int, str, str, int]], budget: int, his
     own_system = system is None and first == 0 and key[1] == 0 and rows[0][1] == "system"
     held = rows[0] if own_system else system
     tokens = np.array([t[3] for t in rows], dtype=np.int64)
-    for window, (back, start, end) in enumerate(plan_spans(tokens, first, held[3] if held else 0, budget, history)):
+    for window, (back, start, end) in enumerate(plan_spans(tokens, first, held[3] if held else 0, own_system, budget, history)):
         repeat_system = held is not None and not (own_system and start == 0)
         if own_system and start > 0:
             back = max(back, 1)

@@ -85,6 +85,8 @@ _LOOKALIKES = {
     "﹫": "@", "﹒": ".", "﹢": "+",
 }
 _DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+#: Endings that a host has to have for bare ``at`` and ``dot`` to be taken for a disguise.
+_ENDINGS = "com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu|it|nl|us|ch|at|ru|cn|jp|in|br|biz|dev|app"
 _INVISIBLE = "­​‌‍⁠﻿"
 
 
@@ -104,7 +106,9 @@ _PLACES = re.compile(
     rf"(?P<char>[{''.join(map(re.escape, _CHARS))}])"
     r"|(?P<at>[\x20]?(?:\[[\x20]?at[\x20]?\]|\([\x20]?at[\x20]?\)|\{[\x20]?at[\x20]?\}|<[\x20]?at[\x20]?>)[\x20]?)"
     r"|(?P<dot>[\x20]?(?:\[[\x20]?dot[\x20]?\]|\([\x20]?dot[\x20]?\)|\{[\x20]?dot[\x20]?\}|<[\x20]?dot[\x20]?>)[\x20]?)"
-    r"|(?P<bareat>(?<=[a-z0-9._%+-])[\x20]at[\x20](?=[a-z0-9-]{1,63}(?:[\x20]dot[\x20][a-z0-9-]{1,63}){1,5}))"
+    r"|(?P<bareat>(?<=[a-z0-9._%+-])[\x20]at[\x20](?=[a-z0-9-]{1,63}(?:[\x20]dot[\x20][a-z0-9-]{1,63}){0,4}?[\x20]dot[\x20](?:"
+    + _ENDINGS
+    + r")(?![a-z0-9-])))"
     r"|(?P<baredot>(?<=[a-z0-9])[\x20]dot[\x20](?=[a-z0-9]))"
     rf"|(?P<plus>(?<![a-z])plus[\x20](?={_NUMBER}|[0-9]))"
     r"|(?P<slip>(?<=[0-9])[oil](?=[0-9]))"
