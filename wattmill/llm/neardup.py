@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattmill.operators.lookup import BROADCAST_BYTES
 from wattmill.session import pin, stage
 
 SHINGLE = 5
@@ -42,6 +43,8 @@ BANDS = REGISTERS // ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2
 #: Estimates below this are not confirmed: five standard errors of 128 registers under the threshold.
 PLAUSIBLE = 0.56
+#: Equal registers of a plausible pair: more than six standard errors under what a similarity of 0.75 gives.
+LEAST_EQUAL = 64
 #: Members of a block when a group has to be settled.
 SETTLE = 256
 
@@ -253,6 +256,7 @@ class _Forest:
         self.up = {x: x for x in labels}
 
     def root(self, x: int) -> int:
+        """The smallest label joined with ``x``."""
         while self.up[x] != x:
             self.up[x] = x = self.up[self.up[x]]
         return x
@@ -263,61 +267,90 @@ class _Forest:
         return a != b
 
 
-def _settle(open_: DataFrame, described: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between members (``band, id, component, size``) of one group that lie in different components."""
-    blocks = F.ceil(F.col("size") / SETTLE).cast("int")
-    block = F.pmod(F.xxhash64("id", "band"), blocks).cast("int")
-    with_block = open_.withColumn("blocks", blocks).withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = with_block.withColumn("o", other).select(
-        "band", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), (F.col("block") == F.least("block", "o")).alias("first"), "id", "component"
-    )
-    rows = dealt.join(described.select("id", "n_shingles", "sketch"), "id").join(texts, "id")
-    sorted_ = rows.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
-
-    def links(held: list[tuple]) -> Iterator[tuple[int, int]]:
-        if len({h[1] for h in held}) < 2:
-            return
-        registers = np.frombuffer(b"".join(h[3] for h in held), dtype=np.uint16).reshape(len(held), REGISTERS)
-        sizes = np.array([h[2] for h in held], dtype=np.float64)
-        labels = np.array([h[1] for h in held])
-        sets: dict[int, np.ndarray] = {}
-        forest = _Forest(labels.tolist())
-        for i in range(len(held) - 1):
-            rest = np.arange(i + 1, len(held))
-            rest = rest[(labels[rest] != labels[i]) & (np.minimum(sizes[rest], sizes[i]) * 100 >= PERCENT * np.maximum(sizes[rest], sizes[i]))]
-            if not len(rest):
-                continue
+def _plausible_in(registers: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+    """For each member the later ones of other components that may be linked with it."""
+    for i in range(len(labels) - 1):
+        rest = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+        if not len(rest):
+            continue
+        rest = rest[(registers[i] == registers[rest]).sum(axis=1) >= LEAST_EQUAL]
+        rest = rest[np.minimum(sizes[rest], sizes[i]) * 100 >= PERCENT * np.maximum(sizes[rest], sizes[i])]
+        if len(rest):
             above, below = (registers[i] > registers[rest]).sum(axis=1), (registers[i] < registers[rest]).sum(axis=1)
             close = likely_similarity(above, below, np.full(len(rest), sizes[i]), sizes[rest]) >= PLAUSIBLE
-            for j in rest[close].tolist():
-                if forest.root(int(labels[i])) == forest.root(int(labels[j])):
-                    continue
-                for k in (i, j):
-                    if k not in sets:
-                        sets[k] = shingle_set(held[k][4])
-                if linked(sets[i], sets[j]) and forest.join(int(labels[i]), int(labels[j])):
-                    yield held[i][0], held[j][0]
+            if close.any():
+                yield i, rest[close].tolist()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
 
-        def flush() -> pa.RecordBatch:
-            found = list(links(held))
-            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+_MEMBER = ["band", "x", "y", "id", "component", "n_shingles", "sketch"]
 
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("band", "x", "y", "id", "component", "n_shingles", "sketch", "text")]
-            for band, x, y, *member in zip(*columns, strict=True):
-                if key is not None and key != (band, x, y):
-                    yield flush()
-                    held = []
-                key = (band, x, y)
-                held.append(tuple(member))
-        if held:
-            yield flush()
 
-    return sorted_.select("band", "x", "y", "id", "component", "n_shingles", "sketch", "text").mapInArrow(run, "a long, b long")
+def _by_block(batches: Iterator[pa.RecordBatch], columns: Sequence[str]) -> Iterator[tuple[tuple, list[list]]]:
+    """The rows of each (band, x, y) as columns; rows arrive sorted by them."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
+            if held and row[:3] != key:
+                yield key, list(zip(*held, strict=True))
+                held = []
+            key = row[:3]
+            held.append(row)
+    if held:
+        yield key, list(zip(*held, strict=True))
+
+
+def _arrays(columns: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    registers = np.frombuffer(b"".join(columns[6]), dtype=np.uint16).reshape(len(columns[6]), REGISTERS)
+    return registers, np.array(columns[5], dtype=np.float64), np.array(columns[4])
+
+
+def _settle(open_: DataFrame, described: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links between members (``band, id, component, size``) of one group that lie in different components.
+
+    A first pass over the registers alone leaves the members with a plausible partner; only their texts are fetched.
+    """
+    blocks = F.ceil(F.col("size") / SETTLE).cast("int")
+    block = F.pmod(F.xxhash64("id", "band"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    dealt = open_.select("band", "id", "component", block.alias("b"), other.alias("o"))
+    dealt = dealt.select("band", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "id", "component")
+    rows = dealt.join(described.select("id", "n_shingles", "sketch"), "id").select(*_MEMBER)
+    schema = pa.schema(
+        [("band", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("id", pa.int64()), ("component", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary())]
+    )
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in _by_block(batches, _MEMBER):
+            if len(set(columns[4])) > 1:
+                chosen: set[int] = set()
+                for i, partners in _plausible_in(*_arrays(columns)):
+                    chosen |= {i, *partners}
+                at = sorted(chosen)
+                yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in at], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    first = rows.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y").mapInArrow(promising, "band long, x int, y int, id long, component long, n_shingles long, sketch binary")
+    first = stage(first, "promising")
+    texts = _texts_of(whole, first.select("id").distinct())
+    named = [*_MEMBER, "text"]
+    second = first.join(texts, "id").select(*named).repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in _by_block(batches, named):
+            ids, labels, texts_ = columns[3], columns[4], columns[7]
+            sets: dict[int, np.ndarray] = {}
+            forest, found = _Forest(labels), []
+            for i, partners in _plausible_in(*_arrays(columns)):
+                for j in partners:
+                    if forest.root(labels[i]) != forest.root(labels[j]):
+                        for k in (i, j):
+                            if k not in sets:
+                                sets[k] = shingle_set(texts_[k])
+                        if linked(sets[i], sets[j]):
+                            forest.join(labels[i], labels[j])
+                            found.append((ids[i], ids[j]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return second.mapInArrow(links, "a long, b long")
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,7 +378,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     mixed = placed.groupBy("band").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("band")
     open_ = stage(placed.join(mixed, "band", "left_semi"), "open-groups")
     if not open_.isEmpty():
-        more = stage(_settle(open_, distinct, stage(_texts_of(whole, open_.select("id").distinct()), "open-texts")), "more-links")
+        more = stage(_settle(open_, distinct, whole), "more-links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
 
@@ -357,7 +390,10 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def _texts_of(whole: DataFrame, ids: DataFrame) -> DataFrame:
-    return whole.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    """Texts of the named documents. A list of ids below the bound goes to the texts; a longer one meets them by a shuffle."""
+    wanted = stage(ids, "wanted")
+    small = wanted.count() * 16 <= BROADCAST_BYTES
+    return whole.join(F.broadcast(wanted) if small else wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
