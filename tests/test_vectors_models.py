@@ -145,3 +145,16 @@ def test_encoding_unseen_and_out_of_fold(spark):
     assert plain[("x", 9.0)] == 2.0 and plain[("z", 9.0)] == 3.0 and plain[(None, 9.0)] == 3.0
     folded = {(r["city"], r["log_target"]): r["city_te"] for r in N.fold_encode(df, ["city"]).collect()}
     assert folded[("x", 1.0)] == 3.0 and folded[("x", 3.0)] == 1.0 and folded[("y", 5.0)] == 3.0 and folded[("x", 9.0)] == 2.0
+
+
+def test_compare_keeps_copies(spark):
+    from wattmill.plans import experiment
+
+    plain = [(f"r{i % 40}", "train" if i % 4 else ("val" if i % 8 else "test"), float(np.log1p(10 + i % 40)), float(i % 40)) for i in range(40)]
+    rows = spark.createDataFrame([r for r in plain for _ in range(3)], "row_id string, split string, log_target double, x double")
+    found = {r["model"]: r for r in experiment.compare(rows, ["x"], {"Ridge": L.RIDGE}).collect()}
+    train = sorted(r[2] for r in plain if r[1] == "train")
+    median = float(np.log1p(np.median(np.expm1(train))))
+    errors = [abs(np.expm1(median) - np.expm1(r[2])) for r in plain if r[1] == "test"]
+    assert found[experiment.BASELINE]["mae"] == pytest.approx(np.mean(errors), rel=1e-6)
+    assert found["Ridge"]["mae"] < found[experiment.BASELINE]["mae"]

@@ -81,9 +81,8 @@ def resolve_chats(requests: DataFrame, chats: DataFrame) -> DataFrame:
 
 def legacy_sessions(sessions: DataFrame, responses: DataFrame, chats: DataFrame) -> DataFrame:
     """Sessions that have responses but no chat."""
-    return sessions.join(responses.select("session_id"), "session_id", "left_semi").join(
-        chats.select("session_id"), "session_id", "left_anti"
-    ).distinct()
+    answered, known = responses.select("session_id").distinct(), chats.select("session_id").distinct()
+    return sessions.join(answered, "session_id", "left_semi").join(known, "session_id", "left_anti").distinct()
 
 
 def backfill(sessions: DataFrame, responses: DataFrame, chats: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -49,8 +49,9 @@ def trend_features(df: DataFrame) -> DataFrame:
     if "smartmeter_perc" in have:
         df = df.withColumn("smartmeter_connections", share_of(F.col("num_connections"), F.col("smartmeter_perc")))
     if "year" in have:
-        ends = df.agg(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi")).alias("e")).scalar()
-        df = df.withColumn("year_trend", safe_ratio((F.col("year") - ends["lo"]).cast("double"), (ends["hi"] - ends["lo"]).cast("double")))
+        lo, hi = df.agg(F.min("year"), F.max("year")).first()  # two numbers, so that the plan holds the input once
+        span = F.lit(None if lo is None else hi - lo).cast("double")
+        df = df.withColumn("year_trend", safe_ratio((F.col("year") - F.lit(lo)).cast("double"), span))
         if "smartmeter_perc" in have:
             df = df.withColumn("smart_x_trend", F.col("smartmeter_perc") * F.col("year_trend"))
         if "total_capacity" in have:

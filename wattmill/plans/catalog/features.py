@@ -32,7 +32,8 @@ lagged AS (SELECT t.*, a.m AS city_lag1_mean, b.m AS city_lag2_mean, roll.r AS c
 
 
 def with_target(spark, sf):
-    return X.exploration_target(usage(spark, sf))
+    """Usage rows written once, then cut at the quantile of the target."""
+    return X.exploration_target(stage(usage(spark, sf), "usage-rows"))
 
 
 def staged_target(spark, sf):

@@ -168,16 +168,14 @@ def model_roundtrip(spark, sf):
 
 
 # --- the text index ---------------------------------------------------------------------------------
-_NEWEST = RUNS_SQL + ", newest AS (SELECT * FROM runs ORDER BY start_time DESC, run_id LIMIT 20)"
-_NEWEST_CHUNKS = CHUNKS_SQL.removeprefix(RUNS_SQL).replace("FROM runs", "FROM newest").replace("SELECT runs.*", "SELECT newest.*")
-INDEX_SQL = f"""WITH {CHUNK_SQL}, {_NEWEST}{_NEWEST_CHUNKS}
+INDEX_SQL = f"""WITH {CHUNK_SQL}, {CHUNKS_SQL}
 SELECT doc_id || ':' || section_no || ':' || piece_no AS id, text, source, 384 AS dim FROM rich WHERE NOT {_LOW}
 UNION ALL SELECT 'mlflow:' || run_id || ':' || section, {sql_cut_at_word('text')}, 'mlflow_metadata', 384 FROM parts"""
 
 
 @query("index_build", INDEX_SQL)
 def index_build(spark, sf):
-    """Newest runs, then documents and newest runs, to embedded chunks, each written replace-all; readers see the last."""
+    """All runs, then documents and all runs, to embedded chunks, each written replace-all; readers see the last."""
     root = scratch_path(spark, "index")
     docs, history = markdown_docs(spark, sf), R.from_wide(runs_wide(spark, sf))
     W.replace_all(indexing.build_index(None, history, PROJECT, EXPERIMENT), root)

@@ -160,8 +160,9 @@ def content_hash(spark, sf):
 
 @query(
     "runs_fingerprint",
-    f"""WITH {RUNS_SQL}, n AS (SELECT *, {_JSON} || chr(31) || start_time AS line FROM runs ORDER BY start_time DESC, run_id LIMIT 20)
-SELECT sha256(string_agg(line, chr(10) ORDER BY start_time DESC, run_id DESC)) AS fingerprint FROM n""",
+    f"""WITH {RUNS_SQL}, n AS (SELECT md5({_JSON} || chr(31) || start_time) AS d FROM runs)
+SELECT sha256(count(*) || ':' || coalesce(sum(('0x' || substr(d, 1, 15))::BIGINT), 0) || ':' || coalesce(sum(('0x' || substr(d, 17, 15))::BIGINT), 0)) AS fingerprint
+FROM n""",
 )
 def runs_fingerprint(spark, sf):
     return R.fingerprint(runs(spark, sf))
@@ -214,8 +215,7 @@ def metrics_summary(spark, sf):
 
 @query(
     "best_run_text",
-    f"""WITH {RUNS_SQL}, n AS (SELECT * FROM runs ORDER BY start_time DESC, run_id LIMIT 10),
-b AS (SELECT * FROM n ORDER BY coalesce(m_val_rmse, m_test_rmse, m_rmse) ASC NULLS LAST, start_time DESC, run_id LIMIT 1)
+    f"""WITH {RUNS_SQL}, b AS (SELECT * FROM runs ORDER BY coalesce(m_val_rmse, m_test_rmse, m_rmse) ASC NULLS LAST, start_time DESC, run_id LIMIT 1)
 SELECT concat_ws(chr(10), 'Melhor run de treinamento (ID: ' || run_id || '):', '  Status: ' || status, '  Data: ' || start_time,
   '  Métricas:', """
     + ", ".join(f"CASE WHEN m_{k} IS NOT NULL THEN '    {k}: ' || m_{k} END" for k in _M)

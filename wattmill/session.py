@@ -7,7 +7,8 @@ a lost executor never takes state with it.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,8 @@ def build_session(app: str = "wattmill", master: str | None = None, **overrides:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder, because there one machine runs every task.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session may do
+    without: there a folder below the warehouse serves until the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -49,7 +50,10 @@ def scratch_root(spark: SparkSession) -> str:
     if current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="wattmill-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+        folder = f"{warehouse}/scratch-{uuid.uuid4().hex}"
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
         current = context.getCheckpointDir()
     return current
 
