@@ -9,7 +9,8 @@ likelier the more two sets overlap.
 Bands of :data:`ROWS` registers are grouped by value. In each group every member is paired with the
 smallest one only. Pairs are estimated from their registers and set sizes by maximum likelihood, implausible ones
 go, the rest is confirmed on the full sets, and confirmed pairs are joined into components. Groups
-whose members do not end in one component are then *settled*: members are dealt out in blocks, each pair of
+whose members do not end in one component pair their members with central ones in the same way, and those
+still open are then *settled*: members are dealt out in blocks, each pair of
 blocks is one unit of work that compares members of different components -- estimates first, then full
 sets -- and reports a spanning forest of its links, never all pairs. So no link that the bands see is lost, and a group of
 ``g`` near-copies costs ``g`` rows, not ``g * g``.
@@ -45,6 +46,8 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2
 PLAUSIBLE = 0.56
 #: Equal registers of a plausible pair: more than six standard errors under what a similarity of 0.75 gives.
 LEAST_EQUAL = 64
+#: Central members that a block of a group may have.
+CENTRES = 8
 #: Members of a block when a group has to be settled.
 SETTLE = 256
 
@@ -161,6 +164,14 @@ def describe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return rows.mapInArrow(run, "id long, n_shingles long, set binary, sketch binary")
 
 
+def _band_values(registers: np.ndarray) -> np.ndarray:
+    """The hashes of all bands of each sketch."""
+    parts = registers.reshape(len(registers) * BANDS, ROWS).astype(np.uint64)
+    place = np.tile(np.arange(BANDS, dtype=np.uint64), len(registers))
+    value = _mix(parts[:, 0] | parts[:, 1] << np.uint64(16) | parts[:, 2] << np.uint64(32) | parts[:, 3] << np.uint64(48))
+    return _mix(value + place * np.uint64(0x9E3779B97F4A7C15)).view(np.int64).reshape(len(registers), BANDS)
+
+
 def band_rows(classes: DataFrame) -> DataFrame:
     """``id, band``: one row per class and band; the band is a hash of its place and its registers."""
 
@@ -168,13 +179,9 @@ def band_rows(classes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            registers = _registers(batch.column("sketch"))
-            parts = registers.reshape(len(registers) * BANDS, ROWS).astype(np.uint64)
-            place = np.tile(np.arange(BANDS, dtype=np.uint64), len(registers))
-            value = _mix(parts[:, 0] | parts[:, 1] << np.uint64(16) | parts[:, 2] << np.uint64(32) | parts[:, 3] << np.uint64(48))
-            value = _mix(value + place * np.uint64(0x9E3779B97F4A7C15))
+            value = _band_values(_registers(batch.column("sketch"))).reshape(-1)
             ids = np.repeat(batch.column("id").to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(value.view(np.int64))], names=["id", "band"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(value)], names=["id", "band"])
 
     return classes.select("id", "sketch").mapInArrow(run, "id long, band long")
 
@@ -267,19 +274,29 @@ class _Forest:
         return a != b
 
 
-def _plausible_in(registers: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-    """For each member the later ones of other components that may be linked with it."""
+def _likely(registers: np.ndarray, sizes: np.ndarray, i: int, rest: np.ndarray) -> np.ndarray:
+    """Those of ``rest`` that may be linked with ``i``."""
+    rest = rest[(registers[i] == registers[rest]).sum(axis=1) >= LEAST_EQUAL]
+    rest = rest[np.minimum(sizes[rest], sizes[i]) * 100 >= PERCENT * np.maximum(sizes[rest], sizes[i])]
+    if not len(rest):
+        return rest
+    above, below = (registers[i] > registers[rest]).sum(axis=1), (registers[i] < registers[rest]).sum(axis=1)
+    return rest[likely_similarity(above, below, np.full(len(rest), sizes[i]), sizes[rest]) >= PLAUSIBLE]
+
+
+def _plausible_in(band: int, registers: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+    """For each member the later ones of other components that may be linked with it, each pair in the first band it shares only."""
+    values = _band_values(registers)
     for i in range(len(labels) - 1):
         rest = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
         if not len(rest):
             continue
-        rest = rest[(registers[i] == registers[rest]).sum(axis=1) >= LEAST_EQUAL]
-        rest = rest[np.minimum(sizes[rest], sizes[i]) * 100 >= PERCENT * np.maximum(sizes[rest], sizes[i])]
+        rest = _likely(registers, sizes, i, rest)
         if len(rest):
-            above, below = (registers[i] > registers[rest]).sum(axis=1), (registers[i] < registers[rest]).sum(axis=1)
-            close = likely_similarity(above, below, np.full(len(rest), sizes[i]), sizes[rest]) >= PLAUSIBLE
-            if close.any():
-                yield i, rest[close].tolist()
+            shared = (values[i] == values[rest]).argmax(axis=1)
+            rest = rest[values[i][shared] == band]
+        if len(rest):
+            yield i, rest.tolist()
 
 
 _MEMBER = ["band", "x", "y", "id", "component", "n_shingles", "sketch"]
@@ -304,6 +321,44 @@ def _arrays(columns: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return registers, np.array(columns[5], dtype=np.float64), np.array(columns[4])
 
 
+def _central_pairs(open_: DataFrame, described: DataFrame) -> DataFrame:
+    """``a, b``: members of open groups with a central member of another component.
+
+    A group of copies of one document hangs together through that document, whatever its id. In blocks of a group the member
+    that agrees most with a few others is taken; members unlike it go on to the next, so each member meets few central ones.
+    """
+    blocks = F.ceil(F.col("size") / (4 * SETTLE)).cast("int")
+    block = F.pmod(F.xxhash64("id", "band"), blocks).cast("int")
+    rows = open_.select("band", block.alias("x"), F.lit(0).alias("y"), "id", "component")
+    rows = rows.join(described.select("id", "n_shingles", "sketch"), "id").select(*_MEMBER)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in _by_block(batches, _MEMBER):
+            registers, sizes, labels = _arrays(columns)
+            ids, found = columns[3], []
+            left = np.arange(len(ids))
+            for _ in range(CENTRES):
+                if len(left) < 2 or len(set(labels[left].tolist())) < 2:
+                    break
+                some = left[:: max(1, len(left) // 32)]
+                agree = np.zeros(len(left), dtype=np.int64)
+                for k in some:
+                    agree += (registers[left] == registers[k]).sum(axis=1)
+                centre = int(left[int(agree.argmax())])
+                others = left[labels[left] != labels[centre]]
+                found += [(ids[j], ids[centre]) for j in _likely(registers, sizes, centre, others).tolist()]
+                left = left[(registers[left] == registers[centre]).sum(axis=1) < LEAST_EQUAL + 24]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return _dealt(rows).mapInArrow(run, "a long, b long").distinct()
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Blocks dealt to a fixed number of tasks: few bytes, much work, so small tasks must not be merged."""
+    tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "band", "x", "y").sortWithinPartitions("band", "x", "y")
+
+
 def _settle(open_: DataFrame, described: DataFrame, whole: DataFrame) -> DataFrame:
     """Links between members (``band, id, component, size``) of one group that lie in different components.
 
@@ -320,26 +375,26 @@ def _settle(open_: DataFrame, described: DataFrame, whole: DataFrame) -> DataFra
     )
 
     def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, columns in _by_block(batches, _MEMBER):
+        for key, columns in _by_block(batches, _MEMBER):
             if len(set(columns[4])) > 1:
                 chosen: set[int] = set()
-                for i, partners in _plausible_in(*_arrays(columns)):
+                for i, partners in _plausible_in(key[0], *_arrays(columns)):
                     chosen |= {i, *partners}
                 at = sorted(chosen)
                 yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in at], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    first = rows.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y").mapInArrow(promising, "band long, x int, y int, id long, component long, n_shingles long, sketch binary")
+    first = _dealt(rows).mapInArrow(promising, "band long, x int, y int, id long, component long, n_shingles long, sketch binary")
     first = stage(first, "promising")
     texts = _texts_of(whole, first.select("id").distinct())
     named = [*_MEMBER, "text"]
-    second = first.join(texts, "id").select(*named).repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
+    second = _dealt(first.join(texts, "id").select(*named))
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, columns in _by_block(batches, named):
+        for key, columns in _by_block(batches, named):
             ids, labels, texts_ = columns[3], columns[4], columns[7]
             sets: dict[int, np.ndarray] = {}
             forest, found = _Forest(labels), []
-            for i, partners in _plausible_in(*_arrays(columns)):
+            for i, partners in _plausible_in(key[0], *_arrays(columns)):
                 for j in partners:
                     if forest.root(labels[i]) != forest.root(labels[j]):
                         for k in (i, j):
@@ -368,15 +423,13 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = groups.where(F.col("least") != F.col("most")).select("band", "least", "size")
     members = stage(bands.join(groups, "band"), "band-members")
     pairs = members.where(F.col("id") != F.col("least")).select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    plausible = stage(_estimated(pairs, distinct), "plausible")
-    wanted = plausible.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stage(_texts_of(whole, wanted), "pair-texts")
-    links = stage(_confirmed(plausible, texts), "links")
+    links = _linked_pairs(stage(_estimated(pairs, distinct), "plausible"), whole)
     labels = components(links)
-
-    placed = members.join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"), "size")
-    mixed = placed.groupBy("band").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("band")
-    open_ = stage(placed.join(mixed, "band", "left_semi"), "open-groups")
+    open_ = _open_groups(members, labels)
+    if not open_.isEmpty():
+        links = links.unionByName(_linked_pairs(stage(_central_pairs(open_, distinct), "central-pairs"), whole))
+        labels = components(links)
+        open_ = _open_groups(members, labels)
     if not open_.isEmpty():
         more = stage(_settle(open_, distinct, whole), "more-links")
         if not more.isEmpty():
@@ -389,6 +442,18 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return found.select("id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
+def _linked_pairs(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return stage(_confirmed(pairs, stage(_texts_of(whole, wanted), "pair-texts")), "links")
+
+
+def _open_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``band, id, component, size`` of the groups whose members lie in several components."""
+    placed = members.join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"), "size")
+    mixed = placed.groupBy("band").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("band")
+    return stage(placed.join(mixed, "band", "left_semi"), "open-groups")
+
+
 def _texts_of(whole: DataFrame, ids: DataFrame) -> DataFrame:
     """Texts of the named documents. A list of ids below the bound goes to the texts; a longer one meets them by a shuffle."""
     wanted = stage(ids, "wanted")
