@@ -83,6 +83,54 @@ def fit_lasso(spark, sf):
     return scored(spark, sf, L.LASSO)[1]
 
 
+def _linear_is_optimal(model, train, alpha: float, algorithm: str):
+    """Whether the residuals of the training rows meet the optimality condition of the fit.
+
+    Least squares: orthogonal to every feature. Ridge: their product with a feature is alpha times its weight. Lasso: their mean
+    product with a feature is alpha towards its weight, and at most alpha where the weight is zero.
+    """
+    rest = F.col("log_target") - F.col("p")
+    sums = train.agg(F.count(F.lit(1)), *[F.sum(rest * F.col(f)) for f in FEATURES], *[F.sum(F.col(f) * F.col(f)) for f in FEATURES]).first()
+    n, products, squares = sums[0], sums[1 : 1 + len(FEATURES)], sums[1 + len(FEATURES) :]
+    for product, square, weight in zip(products, squares, model.coefficients.toArray(), strict=True):
+        slack = 1e-4 * max(1.0, (square * n) ** 0.5)
+        if algorithm == "lasso":
+            good = abs(product / n) <= alpha * 1.02 + 1e-6 if weight == 0 else abs(product / n - alpha * (1 if weight > 0 else -1)) <= 0.02 * alpha + 1e-6
+        else:
+            good = abs(product - (alpha * weight if algorithm == "ridge" else 0.0)) <= slack
+        if not good:
+            return False
+    return True
+
+
+@query(
+    "fit_facts",
+    f"""WITH {TEMPORAL_SQL} SELECT model, (SELECT count(*) FROM parts WHERE split = 'test') AS n_test, TRUE AS beats_mean, TRUE AS sound
+FROM (VALUES ('linear'), ('ridge'), ('lasso'), ('forest'), ('gbt')) m(model)""",
+)
+def fit_facts(spark, sf):
+    """What holds for every right fit over all eight features: a prediction per test row, training error below the mean's, optimality
+    of the linear ones and importances that sum to one."""
+    rows = L.assemble(training_rows(spark, sf), FEATURES)
+    train, out = rows.where(F.col("split") == "train"), []
+    for name, settings in [
+        ("linear", L.LINEAR), ("ridge", L.RIDGE), ("lasso", L.LASSO), ("forest", L.FOREST.but(trees=20)), ("gbt", L.TRAINING_GBT.but(trees=20))
+    ]:
+        model = L.fit(train, settings)
+        seen = L.predict(model, train)
+        error, spread = seen.agg(F.avg(F.pow(F.col("log_target") - F.col("p"), 2)), F.var_pop("log_target")).first()
+        if name in ("linear", "ridge", "lasso"):
+            sound = _linear_is_optimal(model, seen, settings.values.get("alpha", 0.0), name)
+        else:
+            sound = abs(float(model.featureImportances.toArray().sum()) - 1) < 1e-9
+        held = L.predict(model, rows.where(F.col("split") == "test"))
+        out.append(held.where(F.col("p").isNotNull()).agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_test"), F.lit(error < spread).alias("beats_mean"), F.lit(sound).alias("sound")))
+    found = out[0]
+    for part in out[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 @query("lasso_zeroed")
 def lasso_zeroed(spark, sf):
     model, _ = scored(spark, sf, L.LASSO)
