@@ -181,8 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
     found = rows.groupBy("_id", "_toxic").agg(F.min("_text").alias("_text")).orderBy(*order).collect()
     split: dict[bool, list[list[bytes]]] = {True: [], False: []}
-    for row in found:
-        split[row["_toxic"]].append(windows_of(row["_text"]))
+    pool: dict[bytes, bytes] = {}  # one object per distinct window
+    while found:
+        row = found.pop()
+        split[row["_toxic"]].append([pool.setdefault(w, w) for w in windows_of(row["_text"])])
     return fit(split[True], split[False], counts.get(True, 0) / total if total else 0.0)
 
 
