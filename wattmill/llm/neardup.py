@@ -46,6 +46,8 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2
 PLAUSIBLE = 0.56
 #: Equal registers of a plausible pair: more than six standard errors under what a similarity of 0.75 gives.
 LEAST_EQUAL = 64
+#: Registers looked at first and the least number of equal ones, by the same measure.
+HEAD, HEAD_EQUAL = 32, 9
 #: Central members that a block of a group may have.
 CENTRES = 8
 #: Members of a block when a group has to be settled.
@@ -274,10 +276,15 @@ class _Forest:
         return a != b
 
 
+def _equal(rows: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """How many registers of each of ``rows`` equal those of ``row``."""
+    return (rows == row).view(np.uint8).sum(axis=1, dtype=np.uint8)
+
+
 def _likely(registers: np.ndarray, sizes: np.ndarray, i: int, rest: np.ndarray) -> np.ndarray:
-    """Those of ``rest`` that may be linked with ``i``."""
-    rest = rest[(registers[i] == registers[rest]).sum(axis=1) >= LEAST_EQUAL]
+    """Those of ``rest`` that may be linked with ``i``: sizes first, then registers, then the likelihood."""
     rest = rest[np.minimum(sizes[rest], sizes[i]) * 100 >= PERCENT * np.maximum(sizes[rest], sizes[i])]
+    rest = rest[_equal(registers[rest], registers[i]) >= LEAST_EQUAL]
     if not len(rest):
         return rest
     above, below = (registers[i] > registers[rest]).sum(axis=1), (registers[i] < registers[rest]).sum(axis=1)
@@ -285,14 +292,27 @@ def _likely(registers: np.ndarray, sizes: np.ndarray, i: int, rest: np.ndarray)
 
 
 def _plausible_in(band: int, registers: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-    """For each member the later ones of other components that may be linked with it, each pair in the first band it shares only."""
-    values = _band_values(registers)
-    for i in range(len(labels) - 1):
-        rest = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
-        if not len(rest):
+    """For each member those of other components, of its size or larger, that may be linked with it.
+
+    Members stand in order of size, so possible partners are a short stretch; a quarter of the registers is looked at first. Each
+    pair is given in the first band it shares only.
+    """
+    order = np.argsort(sizes, kind="stable")
+    ranked, place = sizes[order], labels[order]
+    heads = np.ascontiguousarray(registers[order, :HEAD])
+    ends = np.searchsorted(ranked, ranked * 100 / PERCENT + 1e-6, side="right")
+    values = None
+    for k in range(len(order) - 1):
+        end = int(ends[k])
+        if end <= k + 1:
+            continue
+        near = (_equal(heads[k + 1 : end], heads[k]) >= HEAD_EQUAL) & (place[k + 1 : end] != place[k])
+        if not near.any():
             continue
-        rest = _likely(registers, sizes, i, rest)
+        i = int(order[k])
+        rest = _likely(registers, sizes, i, order[np.flatnonzero(near) + k + 1])
         if len(rest):
+            values = _band_values(registers) if values is None else values
             shared = (values[i] == values[rest]).argmax(axis=1)
             rest = rest[values[i][shared] == band]
         if len(rest):
@@ -335,6 +355,7 @@ def _central_pairs(open_: DataFrame, described: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, columns in _by_block(batches, _MEMBER):
             registers, sizes, labels = _arrays(columns)
+            heads = np.ascontiguousarray(registers[:, :HEAD])
             ids, found = columns[3], []
             left = np.arange(len(ids))
             for _ in range(CENTRES):
@@ -343,11 +364,11 @@ def _central_pairs(open_: DataFrame, described: DataFrame) -> DataFrame:
                 some = left[:: max(1, len(left) // 32)]
                 agree = np.zeros(len(left), dtype=np.int64)
                 for k in some:
-                    agree += (registers[left] == registers[k]).sum(axis=1)
+                    agree += _equal(heads[left], heads[k])
                 centre = int(left[int(agree.argmax())])
                 others = left[labels[left] != labels[centre]]
                 found += [(ids[j], ids[centre]) for j in _likely(registers, sizes, centre, others).tolist()]
-                left = left[(registers[left] == registers[centre]).sum(axis=1) < LEAST_EQUAL + 24]
+                left = left[_equal(registers[left], registers[centre]) < LEAST_EQUAL + 24]
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return _dealt(rows).mapInArrow(run, "a long, b long").distinct()
