@@ -151,6 +151,9 @@ def test_sketches_merge_and_estimate():
     sizes = np.array([2000.0])
     found = neardup.likely_similarity(np.array([(ka > kb).sum()]), np.array([(ka < kb).sum()]), sizes, sizes)
     assert abs(found[0] - 0.6) < 0.15
+    for least in (0.1, 0.3, 0.5, 0.56, 0.7, 0.9):
+        got = neardup.likely_at_least(np.array([(ka > kb).sum()]), np.array([(ka < kb).sum()]), sizes, sizes, least)
+        assert got[0] == (found[0] >= least)
     assert neardup.linked(a, a) and not neardup.linked(a, b)
 
 

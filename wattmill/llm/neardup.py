@@ -24,7 +24,7 @@ tables stay empty, other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -113,12 +113,7 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def likely_similarity(above: np.ndarray, below: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
-    """Similarity of maximum likelihood, given how many registers of ``a`` lie above or below those of ``b`` and both set sizes.
-
-    For a similarity ``j`` and shares ``u``, ``v`` of the sizes, a register of ``a`` is the larger with
-    probability ``-log_b(1 - (u - v j) (b - 1) / b)``. The likelihood is concave in ``j``; thirds of the interval find its top.
-    """
+def _likelihood(above: np.ndarray, below: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, registers: int) -> tuple[Callable, np.ndarray, np.ndarray]:
     u = size_a / (size_a + size_b)
     v = 1.0 - u
     equal = registers - above - below
@@ -126,10 +121,26 @@ def likely_similarity(above: np.ndarray, below: np.ndarray, size_a: np.ndarray,
     def larger(x: np.ndarray) -> np.ndarray:
         return -np.log1p(-np.maximum(x, 1e-12) * (BASE - 1) / BASE) / np.log(BASE)
 
-    def likelihood(j: np.ndarray) -> np.ndarray:
+    def likelihood(j: np.ndarray | float) -> np.ndarray:
         p, q = larger(u - v * j), larger(v - u * j)
         return above * np.log(p) + below * np.log(q) + equal * np.log(np.maximum(1.0 - p - q, 1e-12))
 
+    return likelihood, u, v
+
+
+def likely_at_least(above: np.ndarray, below: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, least: float, registers: int = REGISTERS) -> np.ndarray:
+    """Whether the most likely similarity is ``least`` or more: the likelihood is concave, so it must not fall there."""
+    likelihood, u, v = _likelihood(above, below, size_a, size_b, registers)
+    return (likelihood(least + 1e-4) >= likelihood(least - 1e-4)) & (np.minimum(u / v, v / u) >= least)
+
+
+def likely_similarity(above: np.ndarray, below: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
+    """Similarity of maximum likelihood, given how many registers of ``a`` lie above or below those of ``b`` and both set sizes.
+
+    For a similarity ``j`` and shares ``u``, ``v`` of the sizes, a register of ``a`` is the larger with
+    probability ``-log_b(1 - (u - v j) (b - 1) / b)``. The likelihood is concave in ``j``; thirds of the interval find its top.
+    """
+    likelihood, u, v = _likelihood(above, below, size_a, size_b, registers)
     low, high = np.zeros_like(u), np.minimum(u / v, v / u)
     for _ in range(40):
         a, b = low + (high - low) / 3, high - (high - low) / 3
@@ -203,7 +214,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 continue
             a, b = _registers(batch.column("sketch_a")), _registers(batch.column("sketch_b"))
             sizes = [batch.column(c).to_numpy().astype(np.float64) for c in ("size_a", "size_b")]
-            close = likely_similarity((a > b).sum(axis=1), (a < b).sum(axis=1), *sizes) >= PLAUSIBLE
+            close = likely_at_least((a > b).sum(axis=1), (a < b).sum(axis=1), *sizes, PLAUSIBLE)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(close)) for c in ("a", "b")], names=["a", "b"])
 
     return both.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
@@ -288,7 +299,7 @@ def _likely(registers: np.ndarray, sizes: np.ndarray, i: int, rest: np.ndarray)
     if not len(rest):
         return rest
     above, below = (registers[i] > registers[rest]).sum(axis=1), (registers[i] < registers[rest]).sum(axis=1)
-    return rest[likely_similarity(above, below, np.full(len(rest), sizes[i]), sizes[rest]) >= PLAUSIBLE]
+    return rest[likely_at_least(above, below, np.full(len(rest), sizes[i]), sizes[rest], PLAUSIBLE)]
 
 
 def _plausible_in(band: int, registers: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Iterator[tuple[int, list[int]]]:
