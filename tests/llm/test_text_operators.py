@@ -49,6 +49,21 @@ def test_plain_text_gets_no_spans():
         assert pii.spans_of(text) == ([], [])
 
 
+def test_disguises_need_no_other_hint(spark):
+    texts = {
+        "Call plus 44 20 7946 0958 today.": "phone",
+        "Host 192.168.zero.one is up.": "ip",
+        "+1.five.five.five.one.two.three.four.five.six.seven": "phone",
+    }
+    for text, kind in texts.items():
+        base, added = pii.spans_of(text)
+        wide_base, wide = pii.spans_of(text + " [at]")
+        assert [(pii.KINDS[k], a, b) for a, k, b in added] == [(pii.KINDS[k], a, b) for a, k, b in wide] and base == wide_base
+        assert kind in [pii.KINDS[k] for _, k, _ in added], text
+    clean = [r["text"] for r in pii.redact_pii(rows(spark, list(texts))).orderBy("doc_id").collect()]
+    assert clean[:3] == ["Call <phone> today.", "Host <ip> is up.", "<phone>"]
+
+
 def test_pii_edges(spark):
     long_run, long_local = "9" * 200_000, "a" * 200_000 + "@"
     frame = rows(spark, [None, "", long_run, long_local, "me@x.org", "me@x.org"], "doc_id long, text string, spans string")

@@ -114,30 +114,12 @@ _PLACES = re.compile(
     r"|(?P<slip>(?<=[0-9])[oil](?=[0-9]))"
     rf"|(?P<number>(?:{_WORD})(?![a-z])(?:[\x20-](?={_NUMBER}|[0-9])(?!(?:{_WORD})[a-z]))?)"
 )
-#: What a rewritten identifier needs at least; texts without any of these are not scanned for places.
-_HINT = re.compile(
-    rf"[0-9][oil][0-9]|[\[({{<][\x20]?(?:at|dot)[\x20]?[\])}}>]|[\x20]dot[\x20]|(?:{_WORD})[\x20-](?:{_WORD}|[0-9])|(?:plus[\x20]|[0-9][\x20-])(?:{_WORD})"
-)
-_DIGIT_SLIP = re.compile(r"[0-9][oil][0-9]")
-#: Literals of which every other hint holds one, found without a pattern.
-_LITERALS = (" dot ", *(f"{a}{w}" for w in ("at", "dot") for a in ("[", "(", "{", "<", "[ ", "( ", "{ ", "< ")), *(f"{w}{c}" for w in _DIGIT_WORDS for c in " -"))
-_DIGIT_THEN_WORD = re.compile(rf"(?:plus[\x20]|[0-9][\x20-])(?:{_WORD})")
-_FOREIGN = re.compile(f"[{''.join(map(re.escape, _CHARS))}]")
 
 
 def _ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
-def _hinted(text: str) -> bool:
-    if not text.isascii() and _FOREIGN.search(text):
-        return True
-    lowered = _ascii_lower(text)
-    if any(x in lowered for x in _LITERALS) and _HINT.search(lowered):
-        return True
-    return bool(_DIGIT_SLIP.search(lowered) or _DIGIT_THEN_WORD.search(lowered))
-
-
 _SIGNS = {"at": "@", "bareat": "@", "dot": ".", "baredot": ".", "plus": "+"}
 #: Letters between digits that stand for a digit.
 _SLIPS = {"o": "0", "i": "1", "l": "1"}
@@ -189,8 +171,6 @@ class Normal:
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Spans that only the normal form shows."""
-    if not _hinted(text):
-        return []
     normal = Normal(text)
     if not normal.edits:
         return []
