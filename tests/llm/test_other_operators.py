@@ -137,6 +137,22 @@ def test_cycle_stays_within_one_block(spark, weights):
     assert order == want
 
 
+@pytest.mark.parametrize("hot,others,each", [(12000, 19, 1200), (9000, 1200, 9)])
+def test_mix_follows_the_target_weights(spark, hot, others, each):
+    sizes = {"hot": hot} | {f"s{i:04}": each for i in range(others)}
+    docs = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, n int")
+    docs = docs.selectExpr("source", "explode(sequence(1, n)) as i").selectExpr("xxhash64(source, i) as doc_id", "source")
+    made = mixing.mix(docs, block_rows=3).select("slot", "source").distinct().orderBy("slot").collect()
+    assert [r["slot"] for r in made] == list(range(sum(-(-n // 3) for n in sizes.values())))
+    order = [r["source"] for r in made]
+    first_out = min({s: t for t, s in enumerate(order, 1)}.values())
+    root = {s: math.sqrt(n) for s, n in sizes.items()}
+    total, seen = sum(root.values()), Counter()
+    for t, s in enumerate(order[:first_out], 1):
+        seen[s] += 1
+        assert all(abs(seen[x] - t * root[x] / total) < 1.001 for x in ("hot", "s0000", "s0007", s))
+
+
 def test_mix_keeps_rows_and_weights(spark):
     sizes = {"a": 5000, "b": 1200, "c": 300, None: 40}
     data = [(i, s) for s, n in sizes.items() for i in range(n)]

@@ -5,11 +5,11 @@ released at slot ``floor((j - 1) / w)`` and due at ``ceil(j / w)``; every slot g
 earliest deadline. At every slot each source has had its weight's share of all slots to within less than
 one block.
 
-Weights are rounded to shares of a cycle of :data:`CYCLE` slots, after which all sources are
-exactly even, so the schedule repeats: only one cycle is computed, by a fold in SQL, and each row
-finds its slot by arithmetic and a small lookup whose size is bounded by sources times cycle.
-When a source runs out a new phase begins: the other weights are scaled up and a new cycle starts. No row is
-dropped or repeated.
+The driver walks the schedule once with exact whole-number windows and keeps the state at every :data:`CHUNK`-th
+slot only; a fold in SQL per chunk finds the slots of its blocks again, in many tasks, and rows meet them by source and
+block. Weights are taken to at least 2**-30 of their sum (2**-40 up to two million blocks), which moves no source by a block.
+When a source runs out a new phase begins: the other weights are scaled up and the windows start anew. No row is
+dropped or repeated, no slot stays empty.
 
 Rows of a source are numbered through blocks of a hash order (:func:`running_totals`), so a source
 that holds a third of all rows is numbered by many tasks. A null source is a source of its own; sources without a target
@@ -18,17 +18,17 @@ weight share ``other`` equally. Empty tables stay empty. Columns named ``slot``
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmill.operators.running import running_totals
 
-#: Slots of a cycle, and rows of a block.
-CYCLE, BLOCK_ROWS = 1000, 16
+#: Slots of one fold, and rows of a block.
+CHUNK, BLOCK_ROWS = 1000, 16
 #: Rows that one numbering block should hold.
 NUMBERING = 4096
 
@@ -49,57 +49,81 @@ def shares(weights: Sequence[float], slots: int) -> list[int]:
     return given
 
 
-@dataclass(frozen=True)
-class Phase:
-    """Sources still there with their shares; ``cycles`` whole rounds from slot ``start``; blocks used before it."""
-
-    start: int
-    cycles: int
-    shares: dict[str | None, int]
-    used: dict[str | None, int]
+def whole(weights: Sequence[float], blocks: int) -> list[int]:
+    """Weights as whole numbers, as fine as windows of ``blocks`` blocks can be kept in 64 bits."""
+    scale = 2 ** min(40, 61 - blocks.bit_length())
+    total = sum(weights)
+    return [max(1, round(w / total * scale)) for w in weights]
 
 
-def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float], slots: int = CYCLE) -> list[Phase]:
-    left = {s: n for s, n in blocks.items() if n > 0}
-    used, start, out = dict.fromkeys(left, 0), 0, []
-    while left:
-        names = sorted(left, key=lambda s: (s is None, s or ""))
-        part = dict(zip(names, shares([weights[s] for s in names], slots), strict=True))
-        cycles = min(-(-left[s] // part[s]) for s in names)
-        out.append(Phase(start, cycles, part, {s: used[s] for s in names}))
-        start += cycles * sum(part.values())
-        for s in names:
-            taken = min(left[s], cycles * part[s])
-            used[s] += taken
-            left[s] -= taken
-            if not left[s]:
-                del left[s]
-    return out
+#: One stretch of the schedule: its first slot and that in its phase, slots, and per source still there the index, weight, blocks
+#: used before the phase and blocks done in it.
+CHUNK_TYPE = "start long, t0 long, slots int, idx array<int>, w array<long>, used array<long>, done array<long>"
 
 
-def edf_cycle(spark: SparkSession, part: Sequence[int]) -> DataFrame:
-    """``source`` (index), ``nth`` (from 0) and ``at``: the slot of each block of one cycle, earliest deadline first."""
-    slots = sum(part)
-    w = "array(" + ",".join(f"{x}L" for x in part) + ")"
-    due = f"(({{j}} + 1) * {slots} + {w}[s] - 1) div {w}[s]"
-    released = f"({{j}} * {slots}) div {w}[s]"
+def chunks(blocks: Sequence[int], weights: Sequence[float], cycle: int | None = None) -> Iterator[tuple]:
+    """Rows of :data:`CHUNK_TYPE` over all ``blocks``; with ``cycle`` the weights are whole shares of so many slots."""
+    left, start = {i: n for i, n in enumerate(blocks) if n > 0}, 0
+    gone = [0] * len(blocks)
+    while left:
+        idx = sorted(left)
+        some = [weights[i] for i in idx]
+        w = shares(some, cycle) if cycle else whole(some, sum(blocks))
+        total, used, done = sum(w), [gone[i] for i in idx], [0] * len(idx)
+        end = [left[i] for i in idx]
+        waiting: list[tuple[int, int]] = []
+        ready = [(-(-total // x), -x, s) for s, x in enumerate(w)]
+        heapq.heapify(ready)
+        t, t0, before, over = 0, 0, list(done), False
+        while not over:
+            while waiting and waiting[0][0] <= t:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (-(-(done[s] + 1) * total // w[s]), -w[s], s))
+            s = heapq.heappop(ready)[2]
+            done[s] += 1
+            heapq.heappush(waiting, (done[s] * total // w[s], s))
+            t += 1
+            over = done[s] == end[s]
+            if over or t - t0 == CHUNK:
+                yield start + t0, t0, t - t0, idx, w, used, before
+                t0, before = t, list(done)
+        start += t
+        for s, i in enumerate(idx):
+            gone[i] += done[s]
+            left[i] -= done[s]
+            if not left[i]:
+                del left[i]
+
+
+def edf(stretches: DataFrame) -> DataFrame:
+    """``source`` (index), ``block`` (from 0) and ``slot`` of every block of the chunks, earliest deadline first."""
+    due = "((acc.done[s] + 1) * total + w[s] - 1) div w[s]"
     pick = f"""
         array_min(transform(
-            filter(sequence(0, {len(part) - 1}), s -> acc.done[s] < {w}[s] and {released.format(j="acc.done[s]")} <= t),
-            s -> struct({due.format(j="acc.done[s]")} as due, -{w}[s] as heavy, s as s)
+            filter(sequence(0, size(w) - 1), s -> (acc.done[s] * total) div w[s] <= t0 + t),
+            s -> struct({due} as due, -w[s] as heavy, s as s)
         )).s
     """
     fold = f"""
         aggregate(
-            sequence(0, {slots - 1}),
-            struct(transform({w}, x -> 0L) as done, cast(array() as array<int>) as chosen),
+            sequence(0, slots - 1),
+            struct(done, cast(array() as array<struct<s:int,j:bigint>>) as chosen),
             (acc, t) -> transform(array({pick}), p -> struct(
-                transform(acc.done, (x, i) -> if(i = p, x + 1L, x)) as done, concat(acc.chosen, array(p)) as chosen))[0],
+                transform(acc.done, (x, i) -> if(i = p, x + 1L, x)) as done,
+                concat(acc.chosen, array(struct(p as s, acc.done[p] as j))) as chosen))[0],
             acc -> acc.chosen
         )
     """
-    chosen = spark.range(1).selectExpr(f"posexplode({fold}) as (at, source)")
-    return chosen.selectExpr("source", "at", "row_number() over (partition by source order by at) - 1 as nth")
+    summed = stretches.selectExpr("*", "aggregate(w, 0L, (a, x) -> a + x) as total")
+    chosen = summed.selectExpr("start", "idx", "used", f"posexplode({fold}) as (at, p)")
+    return chosen.selectExpr("idx[p.s] as source", "used[p.s] + p.j as block", "start + at as slot")
+
+
+def edf_cycle(spark: SparkSession, part: Sequence[int]) -> DataFrame:
+    """``source`` (index), ``nth`` (from 0) and ``at``: the slot of each block of one cycle of whole shares."""
+    none = [0] * len(part)
+    one = spark.createDataFrame([(0, 0, sum(part), list(range(len(part))), list(part), none, none)], CHUNK_TYPE)
+    return edf(one).selectExpr("source", "slot as at", "block as nth")
 
 
 def tempered(counts: Mapping[str | None, int], exponent: float = 0.5) -> dict[str | None, float]:
@@ -115,11 +139,11 @@ def mix(
     source: str = "source",
     key: str = "doc_id",
     block_rows: int = BLOCK_ROWS,
-    cycle: int = CYCLE,
+    cycle: int | None = None,
 ) -> DataFrame:
     """``docs`` with ``slot`` of the row's block and its ``place`` in it; their order is the mixture.
 
-    Without ``weights`` the targets are :func:`tempered` row counts.
+    Without ``weights`` the targets are :func:`tempered` row counts. ``cycle`` rounds them to whole shares of so many slots.
     """
     spark = docs.sparkSession
     rows = docs.drop("slot", "place")
@@ -130,7 +154,8 @@ def mix(
     unnamed = [s for s in counts if target.get(s, 0) <= 0]
     total = sum(w for s, w in target.items() if s in counts and w > 0) or 1.0
     target |= {s: other * total / len(unnamed) for s in unnamed}
-    plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, target, cycle)
+    names = sorted(counts, key=lambda s: (s is None, s or ""))
+    plan = list(chunks([-(-counts[s] // block_rows) for s in names], [target[s] for s in names], cycle))
 
     bits = max(0, math.ceil(math.log2(max(1, sum(counts.values()) / NUMBERING))))
     hashed = rows.withColumn("_mix_hash", F.xxhash64(key)).withColumn("_mix_one", F.lit(1).cast("long"))
@@ -138,26 +163,10 @@ def mix(
     numbered = running_totals(hashed, [source], block, ["_mix_hash", F.col(key).asc_nulls_first()], {"_mix_row": "_mix_one"})
     numbered = numbered.withColumn("_mix_k", F.floor((F.col("_mix_row") - 1) / block_rows))
 
-    names = sorted(counts, key=lambda s: (s is None, s or ""))
-    bounds, slots_of = {s: [] for s in names}, None
-    for p, phase in enumerate(plan):
-        here = list(phase.shares)
-        for s in here:
-            bounds[s].append((p, phase.used[s], phase.shares[s], phase.start, sum(phase.shares.values())))
-        part = edf_cycle(spark, list(phase.shares.values())).select(
-            F.lit(p).alias("_mix_p"), F.element_at(F.array(*[F.lit(names.index(s)) for s in here]), F.col("source") + 1).alias("_mix_s"), F.col("nth").alias("_mix_nth"), F.col("at").alias("_mix_at")
-        )
-        slots_of = part if slots_of is None else slots_of.unionByName(part)
-    told = spark.createDataFrame(
-        [(i, s, [dict(zip(("p", "used", "share", "start", "size"), b, strict=True)) for b in bounds[s]]) for i, s in enumerate(names)],
-        "_mix_s int, _mix_name string, _mix_phases array<struct<p:int,used:long,share:long,start:long,size:long>>",
-    )
+    slots_of = edf(spark.createDataFrame(plan, CHUNK_TYPE)).selectExpr("source as _mix_s", "block as _mix_k", "slot as _mix_slot")
+    told = spark.createDataFrame(list(enumerate(names)), "_mix_s int, _mix_name string")
     found = numbered.join(F.broadcast(told), F.col(source).cast("string").eqNullSafe(F.col("_mix_name")), "left")
-    in_phase = F.element_at(F.filter("_mix_phases", lambda x: x["used"] <= F.col("_mix_k")), -1)
-    found = found.withColumn("_mix_in", in_phase).withColumn("_mix_j", F.col("_mix_k") - F.col("_mix_in.used"))
-    found = found.withColumn("_mix_p", F.col("_mix_in.p")).withColumn("_mix_nth", (F.col("_mix_j") % F.col("_mix_in.share")).cast("int"))
-    found = found.join(F.broadcast(slots_of), ["_mix_p", "_mix_s", "_mix_nth"], "left")
-    slot = F.col("_mix_in.start") + F.floor(F.col("_mix_j") / F.col("_mix_in.share")) * F.col("_mix_in.size") + F.col("_mix_at")
+    found = found.join(slots_of, ["_mix_s", "_mix_k"], "left")
     return found.select(
-        *rows.columns, slot.cast("long").alias("slot"), ((F.col("_mix_row") - 1) % block_rows).cast("int").alias("place")
+        *rows.columns, F.col("_mix_slot").alias("slot"), ((F.col("_mix_row") - 1) % block_rows).cast("int").alias("place")
     )
