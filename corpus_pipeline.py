@@ -1,11 +1,15 @@
 """The corpus pipeline: quality rules, near-copies, personal data, mixing, tokens.
 
 Each stage takes what the one before kept, written as Parquet and read again. The first four return the columns of ``documents``;
-the last returns the token ids of each document that is left, in mixture order.
+the last returns the token ids of each document that is left with its ``position`` in the mixture: the mixing stage sorts files and
+rows, and the position is counted from the name and row number that the scan of those files reports.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +44,21 @@ def interleave(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, read from files, with ``position``: from 0 in the order of part numbers and rows."""
+    rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = {r["_file"]: r["n"] for r in rows.groupBy("_file").agg((F.max("_row") + 1).alias("n")).collect()}
+    names = sorted(sizes, key=lambda name: ([int(n) for n in re.findall(r"^part-(\d+)", name)], name))
+    starts = zip(names, accumulate((sizes[n] for n in names), initial=0), strict=False)
+    told = docs.sparkSession.createDataFrame(list(starts), "_file string, _start long")
+    found = rows.join(F.broadcast(told), "_file")
+    return found.select(*docs.columns, (F.col("_start") + F.col("_row")).alias("position"))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every document and its position in the mixture."""
     ids = bpe.encode_ids(F.col("text"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = docs.select("doc_id", "source", "lang", ids.alias("ids"))
+    coded = numbered(docs).select("doc_id", "source", "lang", ids.alias("ids"), "position")
     return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 

@@ -243,6 +243,27 @@ def test_pipeline_equals_plain_python(spark):
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
 
 
+def test_tokens_carry_the_mixture_position(spark, tmp_path):
+    rows = [(i, f"text {i}", "en", "abc"[min(i % 5, 2)], 6) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    want = [r["doc_id"] for r in mixing.mix(docs).orderBy("slot", "place").collect()]
+    for most in (0, 9):
+        folder = f"{tmp_path}/mixed-{most}"
+        corpus_pipeline.interleave(spark, docs, "").write.option("maxRecordsPerFile", most).parquet(folder)
+        got = corpus_pipeline.tokenize(spark, spark.read.parquet(folder), "").orderBy("position").collect()
+        assert [r["position"] for r in got] == list(range(700))
+        assert [r["doc_id"] for r in got] == want
+    docs.limit(0).write.parquet(f"{tmp_path}/none")
+    assert corpus_pipeline.tokenize(spark, spark.read.parquet(f"{tmp_path}/none"), "").count() == 0
+
+
+def test_pipeline_returns_positions(spark):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id", "source", "position").orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(len(got)))
+    docs = spark.createDataFrame([(r["doc_id"], r["source"]) for r in got], "doc_id long, source string")
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in mixing.mix(docs).orderBy("slot", "place").collect()]
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     for frame in (docs, docs.limit(0)):
