@@ -56,10 +56,13 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document and its position in the mixture."""
-    ids = bpe.encode_ids(F.col("text"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = numbered(docs).select("doc_id", "source", "lang", ids.alias("ids"), "position")
-    return coded.withColumn("n_tokens", F.size("ids").cast("long"))
+    """Token ids of every document and its position in the mixture; fails where the ids don't decode to the text."""
+    coder = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    coded = numbered(docs).withColumn("ids", bpe.encode_ids(F.col("text"), *coder))
+    coded = coded.withColumn("_bytes", bpe.decode_ids(F.col("ids"), *coder))
+    same = F.col("_bytes") == F.coalesce("text", F.lit("")).cast("binary")
+    ids = F.when(same, F.col("ids")).otherwise(F.raise_error(F.concat(F.lit("tokens differ from the text of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
+    return coded.select("doc_id", "source", "lang", ids.alias("ids"), "position", F.size("ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [

@@ -257,6 +257,18 @@ def test_tokens_carry_the_mixture_position(spark, tmp_path):
     assert corpus_pipeline.tokenize(spark, spark.read.parquet(f"{tmp_path}/none"), "").count() == 0
 
 
+def test_tokens_are_decoded_and_compared(spark, tmp_path, monkeypatch):
+    texts = [None, "", "é🙂 two  words\n", "=" * 500]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert corpus_pipeline.tokenize(spark, docs, "").count() == len(texts)
+    assert [r["n_tokens"] for r in corpus_pipeline.tokenize(spark, docs, "").orderBy("doc_id").collect()][:2] == [0, 0]
+    monkeypatch.setattr(bpe, "decode_ids", lambda ids, path, pattern: F.lit("other").cast("binary"))
+    with pytest.raises(Exception, match="tokens differ from the text"):
+        corpus_pipeline.tokenize(spark, docs, "").collect()
+
+
 def test_pipeline_returns_positions(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id", "source", "position").orderBy("position").collect()
     assert [r["position"] for r in got] == list(range(len(got)))
