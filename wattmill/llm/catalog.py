@@ -1,3 +1,3 @@
 """Importing this module registers all queries of the package."""
 
-from wattmill.llm import queries, queries_models, queries_text  # noqa: F401
+from wattmill.llm import queries, queries_models, queries_tables, queries_text  # noqa: F401
