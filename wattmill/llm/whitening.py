@@ -83,8 +83,9 @@ def _matrix(rows: DataFrame, x: Column, n: int, sums: list[int], per_block: int,
 
 def _squared(matrix: BlockMatrix, blocks: int) -> np.ndarray:
     """The matrix' transpose times the matrix, the long middle dimension split by block."""
-    wrapped = matrix.transpose()._java_matrix_wrapper.call("multiply", matrix._java_matrix_wrapper._java_model, blocks)
-    return BlockMatrix(wrapped, matrix.colsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
+    turned = matrix.transpose()
+    product = turned._java_matrix_wrapper.call("multiply", matrix._java_matrix_wrapper._java_model, blocks)
+    return BlockMatrix(product, matrix.colsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
 
 
 def _slabs(count: int, per_block: int) -> list[tuple[int, int]]:
@@ -123,7 +124,7 @@ def _projected(rows: DataFrame, model: Fit, start: int, count: int) -> BlockMatr
     matrix = _matrix(rows.where((F.col("idx") >= start) & (F.col("idx") < start + count)), F.col("x"), model.n, model.sums, _per_block(size), start, count)
     whole = Matrices.dense(size, kept, model.whitening.flatten(order="F"))
     by = BlockMatrix(rows.sparkSession.sparkContext.parallelize([((0, 0), whole)], 1), size, kept)
-    return BlockMatrix(matrix.multiply(by)._java_matrix_wrapper._java_model, _per_block(size), kept)
+    return matrix.multiply(by)
 
 
 def identity_error(model: Fit) -> float:
@@ -140,7 +141,8 @@ def project(rows: DataFrame, model: Fit) -> DataFrame:
     count = (rows.agg(F.max("idx")).first()[0] or 0) + 1
     parts = []
     for start, some in _slabs(count, _per_block(len(model.sums))):
-        told = callMLlibFunc("getIndexedRows", _projected(rows, model, start, some).toIndexedRowMatrix()._java_matrix_wrapper._java_model)
+        matrix = _projected(rows, model, start, some).toIndexedRowMatrix()
+        told = callMLlibFunc("getIndexedRows", matrix._java_matrix_wrapper._java_model)
         told = MLUtils.convertVectorColumnsToML(told.toDF("index", "vector"), "vector")
         parts.append(told.select((F.col("index") + start).alias("idx"), vector_to_array("vector").alias("whitened")))
     out = parts[0]
