@@ -391,16 +391,34 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks, "band", "x", "y").sortWithinPartitions("band", "x", "y")
 
 
+def _dealt_out(open_: DataFrame) -> DataFrame:
+    """``band, x, y, id, component``: each member once per pair of blocks that holds its block and another component.
+
+    Components of :data:`SETTLE` // 2 members or more have blocks of their own, smaller ones share blocks with their members
+    together. Two blocks of one component are no pair, so members of the component that fills a group travel once per block of the
+    others, not once per block of the group.
+    """
+    held = open_.groupBy("band", "component").agg(F.count(F.lit(1)).alias("held"))
+    owner = F.when(F.col("held") >= SETTLE // 2, F.col("component"))
+    areas = held.groupBy("band", owner.alias("of")).agg(F.sum("held").alias("held"))
+    areas = areas.select("band", "of", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("held") / SETTLE) - 1)).alias("k"))
+    layout = areas.groupBy("band").agg(F.sort_array(F.collect_list(F.struct("of", "k"))).alias("blocks"))
+    layout = layout.select("band", F.transform("blocks", lambda b, i: F.struct(i.alias("at"), b["of"].alias("of"))).alias("blocks"))
+    own = F.filter("blocks", lambda b: b["of"] == F.col("component"))
+    mixed = F.filter("blocks", lambda b: b["of"].isNull())
+    pick = lambda some, by: F.get(some, F.pmod(F.xxhash64(by, "band"), F.size(some)).cast("int"))["at"]
+    placed = open_.join(layout, "band").select("*", own.alias("own"), mixed.alias("mixed"))
+    placed = placed.select("band", "id", "component", "blocks", F.when(F.size("own") > 0, pick(F.col("own"), "id")).otherwise(pick(F.col("mixed"), "component")).alias("b"))
+    met = placed.select("band", "id", "component", "b", F.explode("blocks").alias("o")).where(~F.col("o.of").eqNullSafe(F.col("component")))
+    return met.select("band", F.least("b", "o.at").alias("x"), F.greatest("b", "o.at").alias("y"), "id", "component")
+
+
 def _settle(open_: DataFrame, described: DataFrame, whole: DataFrame) -> DataFrame:
-    """Links between members (``band, id, component, size``) of one group that lie in different components.
+    """Links between members (``band, id, component``) of one group that lie in different components.
 
     A first pass over the registers alone leaves the members with a plausible partner; only their texts are fetched.
     """
-    blocks = F.ceil(F.col("size") / SETTLE).cast("int")
-    block = F.pmod(F.xxhash64("id", "band"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = open_.select("band", "id", "component", block.alias("b"), other.alias("o"))
-    dealt = dealt.select("band", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "id", "component")
+    dealt = _dealt_out(open_)
     rows = dealt.join(described.select("id", "n_shingles", "sketch"), "id").select(*_MEMBER)
     schema = pa.schema(
         [("band", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("id", pa.int64()), ("component", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary())]
