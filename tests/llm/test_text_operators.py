@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 
@@ -244,3 +246,20 @@ def test_toxicity_separates_held_out_texts(spark):
     empty = toxicity.train(docs, labels.limit(0))
     assert max(r["score"] for r in toxicity.score_texts(docs, empty).collect()) < 1e-6
     assert toxicity.score_texts(docs.limit(0), model).count() == 0
+
+
+def test_decoding_is_bounded_by_tokens(monkeypatch):
+    """One Arrow batch of 10,000 documents and one text of 20 million characters under DuckDB's limit of 400 MB; pieces join again."""
+    coder = PATH, public_tokenizers.PATTERN
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").combine_chunks()[:10_000]
+    ids = bpe._ids(texts, *coder)
+    assert len(ids.values) > 10_000_000
+    assert bpe._bytes(ids, *coder).cast(pa.string()).equals(texts.fill_null(""))
+    long = pa.array(["some words in a long text, " * 740_000, None, "é🙂"])
+    ids = bpe._ids(long, *coder)
+    assert bpe._bytes(ids, *coder).to_pylist() == [(t or "").encode() for t in long.to_pylist()]
+    monkeypatch.setattr(bpe, "SLICE", 3)
+    some = pa.array([None, [1, 2, 3, 4, 5, 6, 7], [], [8], None], pa.list_(pa.int32()))
+    ranks = {v: k for k, v in bpe.vocabulary(PATH).items()}
+    assert bpe._bytes(some, *coder).to_pylist() == [x if x is None else b"".join(ranks[i] for i in x) for x in some.to_pylist()]
+    assert bpe._bytes(some[:0], *coder).to_pylist() == []

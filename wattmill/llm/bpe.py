@@ -4,7 +4,8 @@ A batch of texts is cut into words by the pattern of the vocabulary. Each distin
 a recursive query joins the pairs of neighbouring positions with the merge table, contracts in every word the leftmost pair of
 the smallest rank, and goes on with the words that changed until none does. An ordered
 aggregation over (word, position) rows joined with the vocabulary decodes the ids of each distinct word again; a
-text is decoded as its words in order. :func:`decode_ids` decodes any column of ids the same way.
+text is decoded as its words in order. :func:`decode_ids` decodes any column of ids the same way, at most :data:`SLICE` tokens
+in one query, so neither the rows of an Arrow batch nor the length of a text decides what a query holds.
 
 Batches are bounded by characters and words are kept between batches up to a bound, so a task holds a few hundred MB
 whatever it reads. Words longer than :data:`LONG` bytes (runs of one character, base64) would need one round
@@ -29,11 +30,12 @@ from functools import lru_cache
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of one batch, distinct words kept between batches, bytes of a word contracted in SQL.
-BATCH_CHARS, KEPT_WORDS, LONG = 4_000_000, 300_000, 64
+#: Characters of one batch, distinct words kept between batches, bytes of a word contracted in SQL, tokens decoded by one query.
+BATCH_CHARS, KEPT_WORDS, LONG, SLICE = 4_000_000, 300_000, 64, 400_000
 
 #: White space of Unicode, spelled out: the engines disagree on ``\\s``.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -135,22 +137,28 @@ class Codec:
         self._keep([w for w, _ in long_], [self._contract(raw) for _, raw in long_])
 
     def _keep(self, words: list[str], ids: list[np.ndarray]) -> None:
-        self.decoded += self.decode(ids)
+        raw, ends = self.decode(np.concatenate([self.bytes_id[:0], *ids]), np.array([len(x) for x in ids], dtype=np.int64))
+        self.decoded += [raw[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
         for word, some in zip(words, ids, strict=True):
             self.known[word] = len(self.ids)
             self.ids.append(some)
             self.written.append(" ".join(map(str, some.tolist())))
 
-    def decode(self, items: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each list of ids."""
-        out = [b""] * len(items)
-        ids = np.concatenate(items) if items else np.zeros(0, dtype=np.int32)
-        item = np.repeat(np.arange(len(items), dtype=np.int32), [len(x) for x in items])
-        rows = pa.table({"item": item, "pos": np.arange(len(ids), dtype=np.int32), "id": ids.astype(np.int32)})
-        found = self._ask("tokens", rows, DECODE)
-        for i, raw in zip(found.column("item").to_pylist(), found.column("bytes").to_pylist(), strict=True):
-            out[i] = raw
-        return out
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of lists of ids, given one after the other with their sizes: joined, with where each list's bytes start and end.
+
+        One query sees at most :data:`SLICE` tokens; a longer list is decoded in several pieces.
+        """
+        item = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        out, held = [], np.zeros(len(sizes) + 1, dtype=np.int64)
+        for a in range(0, len(ids), SLICE):
+            some = slice(a, a + SLICE)
+            pos = np.arange(a, min(a + SLICE, len(ids)), dtype=np.int64)
+            found = self._ask("tokens", pa.table({"item": item[some], "pos": pos, "id": ids[some].astype(np.int32)}), DECODE)
+            pieces = found.column("bytes").to_pylist()
+            held[found.column("item").to_numpy() + 1] += [len(p) for p in pieces]
+            out += pieces
+        return b"".join(out), np.cumsum(held)
 
     def split(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Distinct words, the number of each word in order, and where each text's words end."""
@@ -228,11 +236,15 @@ def encode_ids(text: Column, path: str, pattern: str) -> Column:
 
 def _ids(texts: pa.Array, path: str, pattern: str) -> pa.Array:
     tool, values = codec(path, pattern), [t or "" for t in texts.to_pylist()]
-    rows: list[np.ndarray] = []
+    rows: list[np.ndarray] = [tool.bytes_id[:0]]
+    sizes: list[int] = [0]
     for a, b in _batches(values):
-        for numbers in tool.encode(values[a:b]):
-            rows.append(np.concatenate([tool.ids[n] for n in numbers.tolist()]) if len(numbers) else tool.bytes_id[:0])
-    return pa.array(rows, pa.list_(pa.int32()))
+        for numbers in map(np.ndarray.tolist, tool.encode(values[a:b])):
+            words = [tool.ids[n] for n in numbers]
+            rows += words
+            sizes.append(sum(map(len, words)))
+        rows = [np.concatenate(rows)]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(rows[0]))
 
 
 def decode_ids(ids: Column, path: str, pattern: str) -> Column:
@@ -240,13 +252,18 @@ def decode_ids(ids: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("binary")
     def bytes_of(rows: pa.Array) -> pa.Array:
-        lists = [None if x is None else np.array(x, dtype=np.int32) for x in rows.to_pylist()]
-        decoded = iter(codec(path, pattern).decode([x for x in lists if x is not None]))
-        return pa.array([None if x is None else next(decoded) for x in lists], pa.binary())
+        return _bytes(rows, path, pattern)
 
     return bytes_of(ids)
 
 
+def _bytes(rows: pa.Array, path: str, pattern: str) -> pa.Array:
+    sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    raw, ends = codec(path, pattern).decode(rows.flatten().to_numpy(), sizes)
+    plain = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+    return pc.if_else(rows.is_valid(), plain, pa.scalar(None, pa.binary())) if rows.null_count else plain
+
+
 def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` (ids joined by blanks) and ``decoded_sha256`` of the text read back from them."""
     kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
