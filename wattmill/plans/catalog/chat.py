@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wattmill.functions import text as T
 from wattmill.operators import answers as A
 from wattmill.operators import chatlog as L
+from wattmill.operators import coded_search as Q
 from wattmill.operators import vectors as V
 from wattmill.plans import chat_views as C
 from wattmill.plans.registry import query
@@ -401,6 +402,36 @@ def bucketed_top_k(spark, sf):
     return V.bucketed_top_k(vectors, _queries(vectors))
 
 
+def _coded(vectors):
+    """A coded index and a short list below 5 % of the vectors."""
+    short = max(V.TOP_K, (vectors.count() - 1) // 20)
+    return Q.search(Q.build(vectors, 64), vectors, _queries(vectors), short=short)
+
+
+@query(
+    "coded_top_k",
+    f"WITH {_TOPK_SQL} SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(sim + 1e-8, 4) AS similarity FROM k WHERE rank <= 5",
+)
+def coded_top_k(spark, sf):
+    """Hits of the approximate search; at a recall of one they are the exact ones."""
+    found = _coded(table(spark, sf, "embeddings"))
+    return found.select("query_id", "vec_id", "rank", settled(F.col("similarity"), 4).alias("similarity"))
+
+
+@query(
+    "coded_recall",
+    f"WITH {_TOPK_SQL} SELECT query_id, TRUE AS recall_reached, TRUE AS share_below FROM k WHERE rank <= 5 GROUP BY query_id",
+)
+def coded_recall(spark, sf):
+    """Recall at five of the approximate search against the exact one, and the share of full vectors that it reads, per query."""
+    vectors = table(spark, sf, "embeddings")
+    total = vectors.count()
+    exact = V.cosine_top_k(vectors, _queries(vectors)).select("query_id", "vec_id", F.lit(1).alias("wanted"))
+    found = _coded(vectors).select("query_id", "vec_id", "read")
+    hits = exact.join(found, ["query_id", "vec_id"], "left").groupBy("query_id").agg(F.count("read").alias("hit"), F.sum("wanted").alias("wanted"), F.max("read").alias("read"))
+    return hits.select("query_id", (F.col("hit") >= 0.9 * F.col("wanted")).alias("recall_reached"), (F.col("read") < 0.05 * total).alias("share_below"))
+
+
 @query("embed_words")
 def embed_words(spark, sf):
     return V.embed_words(texts(spark, sf)).select("doc_id", F.size("text_vector").alias("dim"))
