@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wattmill.operators import boosting as B
 from wattmill.operators import encoding as N
 from wattmill.operators import features as X
 from wattmill.operators import metrics as M
@@ -51,7 +52,34 @@ def fit_gbt(spark, sf):
 
 @query("fit_gbt_early_stop")
 def fit_gbt_early_stop(spark, sf):
-    return scored(spark, sf, L.EARLY_STOP_GBT.but(trees=20, rate=0.1), validation=True)[1]
+    """The preset as it is: 1,200 trees at most, rate 0.02, depth 7, a patience of 60 trees."""
+    rows = L.assemble(training_rows(spark, sf), FEATURES)
+    done = B.fit_patient(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"), L.EARLY_STOP_GBT)
+    held = L.predict(done.model, rows.where(F.col("split") == "test")).withColumn("y", F.col("log_target"))
+    return M.original_space(held.select("y", "p"), []).select(*_ERRS)
+
+
+@query(
+    "early_stop_patience",
+    f"""WITH {TEMPORAL_SQL} SELECT count(*) AS n_val, TRUE AS same_count, TRUE AS same_error, TRUE AS cut_there, TRUE AS within_patience
+FROM parts WHERE split = 'val'""",
+)
+def early_stop_patience(spark, sf):
+    """The preset with a patience of 15 trees for 60: the chosen number of trees and its error against sums over single trees."""
+    rows = L.assemble(training_rows(spark, sf), FEATURES)
+    train, held = (rows.where(F.col("split") == part) for part in ("train", "val"))
+    done = B.fit_patient(train, held, L.EARLY_STOP_GBT, patience=15)
+    errors = [r["error"] for r in B.errors_by_prefix(done.whole, held).orderBy("trees").collect()]
+    best = B.stopping_point(errors, 15)[0]
+    served = L.predict(done.model, held)
+    error = F.sqrt(F.avg(F.pow(F.col("log_target") - F.col("p"), 2)))
+    return served.agg(
+        F.count("p").alias("n_val"),
+        F.lit(done.best == best).alias("same_count"),
+        (F.abs(error - F.lit(errors[best - 1])) < 1e-9).alias("same_error"),
+        F.lit(len(done.model.trees) == best).alias("cut_there"),
+        F.lit(min(errors[best : best + 15], default=1e9) >= errors[best - 1]).alias("within_patience"),
+    )
 
 
 @query("fit_gbt_second")
