@@ -99,7 +99,7 @@ def stream_tokens(spark, sf):
         "conv_id", F.when(user, words).alias("input_tokens"), F.when(~user, words).alias("output_tokens"), words.alias("total_tokens")
     )
     J.token_totals(used, f"{target}/rows", f"{target}/state", key="conv_id")
-    return J.latest_totals(spark, f"{target}/rows", key="conv_id")
+    return J.latest_totals(spark, f"{target}/rows")
 
 
 @query("layer_roundtrip", f"WITH {SILVER_SQL} SELECT year, count(*) AS n, round(sum(log_target) + 1e-8, 4) AS logs FROM silver GROUP BY year")
@@ -183,6 +183,31 @@ def index_build(spark, sf):
     return W.read_current(spark, root).select("id", "text", "source", F.size("text_vector").alias("dim"))
 
 
+@query(
+    "reindex_changes",
+    f"""WITH {RUNS_SQL}, best AS (SELECT run_id FROM runs ORDER BY run_id LIMIT 1)
+SELECT 'doc' AS kind, 'added' AS change, count(*) AS n FROM documents WHERE doc_id % 7 = 3
+UNION ALL SELECT 'doc', 'changed', count(*) FROM documents WHERE doc_id % 7 = 1
+UNION ALL SELECT 'doc', 'removed', count(*) FROM documents WHERE doc_id % 7 = 2
+UNION ALL SELECT 'run', 'changed', count(*) FROM best
+UNION ALL SELECT 'kept', 'unchanged', (SELECT count(*) FROM documents WHERE doc_id % 7 NOT IN (1, 2, 3)) + (SELECT count(*) FROM runs) - 1""",
+)
+def reindex_changes(spark, sf):
+    """An index refreshed after documents came, changed and went and one run changed: what each refresh touched."""
+    root = scratch_path(spark, "refreshed")
+    docs, history = stage(markdown_docs(spark, sf), "documents"), stage(R.from_wide(runs_wide(spark, sf)), "runs")
+    turn = F.col("doc_id") % 7
+    indexing.refresh(spark, root, 0, docs.where(turn != 3), history, PROJECT, EXPERIMENT)
+    edited = docs.where(turn != 2).withColumn("text", F.when(turn == 1, F.concat("text", F.lit("\n## Nachtrag\nein Satz mehr"))).otherwise(F.col("text")))
+    first = history.agg(F.min("run_id")).first()[0]
+    later = history.withColumn("status", F.when(F.col("run_id") == first, F.concat("status", F.lit("_AGAIN"))).otherwise(F.col("status")))
+    changes = indexing.refresh(spark, root, 1, edited, later, PROJECT, EXPERIMENT)
+    told = changes.groupBy(F.substring_index("key", ":", 1).alias("kind"), "change").agg(F.count(F.lit(1)).alias("n"))
+    marks = indexing.fingerprints(spark, root)
+    kept = marks.join(changes.where("change <> 'removed'"), "key", "left_anti")
+    return told.unionByName(kept.agg(F.lit("kept").alias("kind"), F.lit("unchanged").alias("change"), F.count(F.lit(1)).alias("n")))
+
+
 @query("table_append", "SELECT count(*) * 2 AS n, count(DISTINCT page_id) AS pages FROM pages")
 def table_append(spark, sf):
     root = scratch_path(spark, "appended")
