@@ -35,7 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of one batch, distinct words kept between batches, bytes of a word contracted in SQL, tokens decoded by one query.
-BATCH_CHARS, KEPT_WORDS, LONG, SLICE = 4_000_000, 300_000, 64, 400_000
+BATCH_CHARS, KEPT_WORDS, LONG, SLICE = 1_000_000, 150_000, 64, 100_000
+#: What DuckDB may hold in a process.
+MEMORY = "400MB"
 
 #: White space of Unicode, spelled out: the engines disagree on ``\\s``.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -83,12 +85,13 @@ def re2_pattern(pattern: str) -> str:
 
 
 class Codec:
-    """Encoder and decoder of one process."""
+    """Encoder and decoder of one process; ``spelled`` keeps each word's ids as text and its decoded bytes too."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, spelled: bool):
+        self.spelled = spelled
         self.ranks = vocabulary(path)
         self.pattern = re2_pattern(pattern)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self.bytes_id = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         pairs = [
             (self.ranks[t[:i]] << 16 | self.ranks[t[i:]], rank)
@@ -137,12 +140,13 @@ class Codec:
         self._keep([w for w, _ in long_], [self._contract(raw) for _, raw in long_])
 
     def _keep(self, words: list[str], ids: list[np.ndarray]) -> None:
-        raw, ends = self.decode(np.concatenate([self.bytes_id[:0], *ids]), np.array([len(x) for x in ids], dtype=np.int64))
-        self.decoded += [raw[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
+        if self.spelled:
+            raw, ends = self.decode(np.concatenate([self.bytes_id[:0], *ids]), np.array([len(x) for x in ids], dtype=np.int64))
+            self.decoded += [raw[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
+            self.written += [" ".join(map(str, some.tolist())) for some in ids]
         for word, some in zip(words, ids, strict=True):
             self.known[word] = len(self.ids)
             self.ids.append(some)
-            self.written.append(" ".join(map(str, some.tolist())))
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of lists of ids, given one after the other with their sizes: joined, with where each list's bytes start and end.
@@ -210,8 +214,8 @@ class Codec:
 
 
 @lru_cache(maxsize=1)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+def codec(path: str, pattern: str, spelled: bool = False) -> Codec:
+    return Codec(path, pattern, spelled)
 
 
 def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -270,7 +274,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text")
 
     @F.arrow_udf(kind)
     def digests(texts: pa.Array) -> pa.Array:
-        tool, values = codec(path, pattern), [t or "" for t in texts.to_pylist()]
+        tool, values = codec(path, pattern, True), [t or "" for t in texts.to_pylist()]
         counts, written, decoded = [], [], []
         for a, b in _batches(values):
             for numbers in map(np.ndarray.tolist, tool.encode(values[a:b])):
