@@ -35,7 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of one batch, distinct words kept between batches, bytes of a word contracted in SQL, tokens decoded by one query.
-BATCH_CHARS, KEPT_WORDS, LONG, SLICE = 1_000_000, 150_000, 64, 100_000
+BATCH_CHARS, KEPT_WORDS, LONG, SLICE = 4_000_000, 300_000, 64, 100_000
+#: The same bounds where whole arrays of ids are held beside the words.
+ARRAY_CHARS, ARRAY_WORDS = 1_000_000, 150_000
 #: What DuckDB may hold in a process.
 MEMORY = "400MB"
 
@@ -88,7 +90,7 @@ class Codec:
     """Encoder and decoder of one process; ``spelled`` keeps each word's ids as text and its decoded bytes too."""
 
     def __init__(self, path: str, pattern: str, spelled: bool):
-        self.spelled = spelled
+        self.spelled, self.most = spelled, KEPT_WORDS if spelled else ARRAY_WORDS
         self.ranks = vocabulary(path)
         self.pattern = re2_pattern(pattern)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
@@ -204,7 +206,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The numbers of the words of each text; ``ids``, ``written`` and ``decoded`` have what they stand for."""
-        if len(self.known) > KEPT_WORDS:
+        if len(self.known) > self.most:
             self.forget()
         words, at, ends = self.split(texts)
         if fresh := [w for w in words if w not in self.known]:
@@ -218,10 +220,10 @@ def codec(path: str, pattern: str, spelled: bool = False) -> Codec:
     return Codec(path, pattern, spelled)
 
 
-def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _batches(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, text in enumerate(texts):
-        if i > start and size + len(text) > BATCH_CHARS:
+        if i > start and size + len(text) > chars:
             yield start, i
             start, size = i, 0
         size += len(text)
@@ -242,7 +244,7 @@ def _ids(texts: pa.Array, path: str, pattern: str) -> pa.Array:
     tool, values = codec(path, pattern), [t or "" for t in texts.to_pylist()]
     rows: list[np.ndarray] = [tool.bytes_id[:0]]
     sizes: list[int] = [0]
-    for a, b in _batches(values):
+    for a, b in _batches(values, ARRAY_CHARS):
         for numbers in map(np.ndarray.tolist, tool.encode(values[a:b])):
             words = [tool.ids[n] for n in numbers]
             rows += words
@@ -276,7 +278,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text")
     def digests(texts: pa.Array) -> pa.Array:
         tool, values = codec(path, pattern, True), [t or "" for t in texts.to_pylist()]
         counts, written, decoded = [], [], []
-        for a, b in _batches(values):
+        for a, b in _batches(values, BATCH_CHARS):
             for numbers in map(np.ndarray.tolist, tool.encode(values[a:b])):
                 ids = " ".join([tool.written[n] for n in numbers])
                 counts.append(ids.count(" ") + bool(ids))
