@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wattmill.operators import lookup as LK
 from wattmill.operators import splits as S
+from wattmill.operators import quantiles as quantile_module
 from wattmill.operators.quantiles import grouped_quantiles, order_statistics, quantiles
 from wattmill.operators.running import running_totals
 
@@ -96,3 +97,26 @@ def test_sample_and_years(spark):
     six = df.withColumn("year", (F.col("id") % 6 + 2010).cast("int"))
     parts = {(r["year"], r["split"]) for r in S.split_rows(six, ["id"]).select("year", "split").distinct().collect()}
     assert parts == {(2010, "train"), (2011, "train"), (2012, "val"), (2013, "val"), (2014, "test"), (2015, "test")}
+
+
+def test_many_quantiles_of_several_columns_in_three_scans(spark):
+    rng = np.random.default_rng(7)
+    n = 45_000
+    a, b = rng.lognormal(size=n), np.where(rng.random(n) < 0.4, 5.0, rng.normal(size=n))
+    df = spark.createDataFrame(list(zip(a.tolist(), b.tolist(), strict=True)), "a double, b double").repartition(6).persist()
+    probs = [0.0, 0.001, 0.2, 0.2003, 0.5, 0.75, 0.9999, 1.0]
+    exprs = {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None).cast("double")}
+    got = quantiles(df, {f"{c}{i}": (e, p) for c, e in exprs.items() for i, p in enumerate(probs)}).first()
+    assert np.allclose([got[f"a{i}"] for i in range(8)], np.quantile(a, probs))
+    assert np.allclose([got[f"b{i}"] for i in range(8)], np.quantile(b, probs))
+    assert [got[f"none{i}"] for i in range(8)] == [None] * 8
+
+
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(quantile_module, "FIRST_SLACK", -40.0)  # brackets beside the wanted rank
+    values = [float(v * v % 99_991) for v in range(30_000)]
+    widened = []
+    plain = quantile_module._brackets
+    monkeypatch.setattr(quantile_module, "_brackets", lambda s, p, slack: widened.append(slack) or plain(s, p, abs(slack) if len(widened) > 1 else slack))
+    got = quantiles(frame(spark, values), {"m": (F.col("x"), 0.37)}).first()["m"]
+    assert len(widened) == 2 and np.isclose(got, np.quantile(values, 0.37))

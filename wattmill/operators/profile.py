@@ -74,9 +74,8 @@ def describe(df: DataFrame, columns: dict[str, Column], percentiles: Sequence[fl
     slim = df.select(*[e.cast("double").alias(n) for n, e in columns.items()])
     moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     plain = slim.agg(*[f(n).cast("double").alias(f"{i}_{m}") for i, n in enumerate(columns) for m, f in moments.items()])
-    ranked = quantiles(
-        slim, {f"{i}_q{j}": (F.col(n), p) for i, n in enumerate(columns) for j, p in enumerate(percentiles)}
-    )
+    whole = {n: F.col(n) for n in columns}
+    ranked = quantiles(slim, {f"{i}_q{j}": (whole[n], p) for i, n in enumerate(columns) for j, p in enumerate(percentiles)})
     pairs = as_long(plain).unionByName(as_long(ranked))
     names = F.array(*[F.lit(n) for n in columns])
     labels = F.create_map(*[F.lit(x) for j, p in enumerate(percentiles) for x in (f"q{j}", f"{p * 100:g}%")])
