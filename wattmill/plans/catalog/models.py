@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wattmill.operators import boosting as B
 from wattmill.operators import encoding as N
 from wattmill.operators import features as X
+from wattmill.operators import leafwise as W
 from wattmill.operators import metrics as M
 from wattmill.operators import models as L
 from wattmill.operators import splits as S
@@ -87,6 +88,57 @@ def fit_gbt_second(spark, sf):
     return scored(spark, sf, L.SECOND_GBT.but(trees=20, rate=0.1), validation=True)[1]
 
 
+_BINS = 32
+_LONG_SQL = " UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, g FROM r" for i, c in enumerate(PLAIN))
+
+
+@query(
+    "leafwise_first_split",
+    f"""WITH {TEMPORAL_SQL}, r AS (SELECT *, log_target - avg(log_target) OVER () AS g FROM parts WHERE split = 'train'),
+long AS ({_LONG_SQL}),
+cuts AS (SELECT DISTINCT f, unnest(quantile_cont(x, [{", ".join(f"{j / _BINS!r}" for j in range(1, _BINS))}])) AS cut FROM long GROUP BY f),
+sums AS (SELECT f, feature, cut, count(*) AS n, sum(g) AS s, count(*) FILTER (WHERE x <= cut) AS nl, sum(g) FILTER (WHERE x <= cut) AS sl
+  FROM long JOIN cuts USING (f) GROUP BY f, feature, cut),
+gains AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM sums WHERE nl >= 20 AND n - nl >= 20)
+SELECT feature, round(cut + 1e-8, 4) AS cut, nl AS n_left, n - nl AS n_right, round(gain + 1e-8, 4) AS gain
+FROM gains ORDER BY gains.gain DESC, f, gains.cut LIMIT 1""",
+)
+def leafwise_first_split(spark, sf):
+    """The first split of the leaf-wise trees over all training rows, against every cut of every feature tried one by one."""
+    train = temporal(spark, sf).where(F.col("split") == "train")
+    model = W.fit_leafwise(train, PLAIN, "log_target", W.Growth(trees=1, leaves=2, min_leaf=20, bins=_BINS))
+    tree = model.trees[0]
+    feature = PLAIN[int(tree.feature[0])]
+    cut = float(model.cuts[int(tree.feature[0])][int(tree.bin[0])])
+    low = F.col(feature).cast("double") <= F.lit(cut)
+    sides = train.agg(F.count_if(low).alias("n_left"), F.count_if(~low).alias("n_right"))
+    found = sides.select(F.lit(feature).alias("feature"), F.lit(cut).alias("cut"), "n_left", "n_right", F.lit(float(tree.gain[0])).alias("gain"))
+    return rounded(found, ["cut", "gain"], 4)
+
+
+@query(
+    "leafwise_against_levels",
+    f"""WITH {TEMPORAL_SQL} SELECT count(*) AS n_val, TRUE AS same_error, TRUE AS leaves_kept, TRUE AS within_2_pct
+FROM parts WHERE split = 'val'""",
+)
+def leafwise_against_levels(spark, sf):
+    """Leaf-wise and level-wise boosting with as many trees (12) at the same rate: the reported validation error against that of the
+    served predictions, no tree above its leaves, and an error at most 2 % above the level-wise one."""
+    rows = temporal(spark, sf)
+    train, held = (rows.where(F.col("split") == part) for part in ("train", "val"))
+    growth = W.Growth(trees=12, rate=0.2, leaves=31, depth=L.SECOND_GBT.values["depth"], min_leaf=20, rows=0.8, columns=0.8)
+    model = W.fit_leafwise(train, PLAIN, "log_target", growth, validation=held)
+    levels = L.fit(L.assemble(train, PLAIN), L.TRAINING_GBT.but(trees=12, rate=0.2))
+    rest = L.predict(levels, L.assemble(held, PLAIN)).agg(F.sqrt(F.avg(F.pow(F.col("log_target") - F.col("p"), 2)))).first()[0]
+    error = F.sqrt(F.avg(F.pow(F.col("log_target") - F.col("p"), 2)))
+    return W.predict(model, held).agg(
+        F.count("p").alias("n_val"),
+        (F.abs(error - F.lit(model.errors[len(model.trees) - 1])) < 1e-9).alias("same_error"),
+        F.lit(all((t.feature >= 0).sum() <= 30 for t in model.trees)).alias("leaves_kept"),
+        (error <= F.lit(1.02 * rest)).alias("within_2_pct"),
+    )
+
+
 @query("fit_forest")
 def fit_forest(spark, sf):
     rows = training_rows(spark, sf)
