@@ -191,6 +191,19 @@ def bounded_pieces(text: Column, limit: int = MAX_CHUNK) -> Column:
     return F.when(F.length(text) <= limit, F.array(text)).otherwise(pieces)
 
 
+def filled_pieces(text: Column, width: Column) -> Column:
+    """Array of stripped, non-empty pieces of at most ``width`` characters, which may differ by row; nothing but white space is lost.
+
+    A piece ends before the last white space that fits, or where the text ends; only a word longer than the width is cut.
+    """
+    most = width.cast("string")
+    walked = F.concat(
+        F.lit(rf"(?s)(?![{WS}]).{{1,"), most, F.lit(rf"}}(?=[{WS}]|\z)|(?![{WS}]).{{1,"), most, F.lit("}")
+    )
+    pieces = F.transform(F.regexp_extract_all(text, walked, F.lit(0)), lambda p: strip(p))
+    return F.filter(pieces, lambda p: F.length(p) > 0)
+
+
 def is_low_value(text: Column) -> Column:
     """Chunks not worth indexing: short, placeholder, lone heading, or hardly more than a timestamp."""
 

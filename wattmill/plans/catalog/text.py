@@ -206,6 +206,39 @@ def run_chunks(spark, sf):
     return R.run_chunks(R.with_best(runs(spark, sf)), PROJECT, EXPERIMENT).select("id", "section", "text", "source")
 
 
+def _bare(expr: str) -> str:
+    return f"regexp_replace({expr}, '[{T.WS}]', '', 'g')"
+
+
+def _same_words(rows, by, order):
+    """Digest and length of all pieces of a text put together without white space, and whether each piece keeps to its width."""
+    listed = F.array_sort(F.collect_list(F.struct(*order, "body")))
+    told = rows.groupBy(*by).agg(F.array_join(F.transform(listed, lambda p: p["body"]), "").alias("all"), F.bool_and(F.length("text") <= T.MAX_TEXT).alias("bounded"))
+    bare = F.regexp_replace("all", f"[{T.WS}]", "")
+    return told.select(*by, F.md5(bare).alias("digest"), F.length(bare).cast("long").alias("chars"), "bounded")
+
+
+@query(
+    "whole_chunks",
+    f"WITH {MARKDOWN_SQL} SELECT doc_id, md5({_bare('text')}) AS digest, length({_bare('text')}) AS chars, TRUE AS bounded FROM md WHERE text IS NOT NULL",
+)
+def whole_chunks(spark, sf):
+    """Every document's words before and after chunking, in order and none missing."""
+    return _same_words(K.whole_chunks(markdown_docs(spark, sf), ["doc_id"], PROJECT), ["doc_id"], ["section_no", "piece_no"])
+
+
+_REST = f"substr(text, {len(_HEAD) + 2})"
+
+
+@query(
+    "whole_run_chunks",
+    f"WITH {CHUNKS_SQL} SELECT run_id, section, md5({_bare(_REST)}) AS digest, length({_bare(_REST)}) AS chars, TRUE AS bounded FROM parts",
+)
+def whole_run_chunks(spark, sf):
+    """The same for the texts of every run."""
+    return _same_words(R.whole_run_chunks(R.with_best(runs(spark, sf)), PROJECT, EXPERIMENT), ["run_id", "section"], ["piece_no"])
+
+
 @query("metrics_summary", f"WITH {RUNS_SQL}, {_BEST} SELECT run_id, {_SUMMARY} AS text FROM r")
 def metrics_summary(spark, sf):
     return R.with_best(runs(spark, sf)).select(
