@@ -8,12 +8,14 @@ from wattmill.functions import text as T
 from wattmill.operators import answers as A
 from wattmill.operators import chatlog as L
 from wattmill.operators import coded_search as Q
+from wattmill.operators import retrieval as RT
 from wattmill.operators import vectors as V
 from wattmill.plans import chat_views as C
 from wattmill.plans.registry import query
-from wattmill.plans.rounding import settled
+from wattmill.plans.rounding import rounded, settled
 from wattmill.plans.text_views import sql_redact, sql_sanitize, sql_strip, sql_strip_artifacts
 from wattmill.plans.views import table, texts
+from wattmill.session import spread
 
 
 # --- the current turn -------------------------------------------------------------------------------
@@ -405,7 +407,7 @@ def bucketed_top_k(spark, sf):
 def _coded(vectors):
     """A coded index and a short list below 5 % of the vectors."""
     short = max(V.TOP_K, (vectors.count() - 1) // 20)
-    return Q.search(Q.build(vectors, 64), vectors, _queries(vectors), short=short)
+    return RT.search(Q.build(vectors, 64), vectors, _queries(vectors), short=short)
 
 
 @query(
@@ -445,3 +447,53 @@ def split_rejects(spark, sf):
     rows = V.embed_words(texts(spark, sf))
     good, bad = V.split_rejects(rows)
     return good.select("doc_id", F.lit(True).alias("accepted")).unionByName(bad.select("doc_id", F.lit(False).alias("accepted")))
+
+
+# --- questions to hits, context and answers -------------------------------------------------------------
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_counts(df):
+    """An encoder that SQL can repeat: how often each letter occurs."""
+    count = lambda c: (F.length("text") - F.length(F.replace("text", F.lit(c)))).cast("double")
+    return df.withColumn("text_vector", F.array(*[count(c) for c in _LETTERS]))
+
+
+def _searched(spark, sf):
+    docs = spread(texts(spark, sf)).select(F.col("doc_id").cast("string").alias("id"), "text", "source", F.col("doc_id"))
+    asked = docs.where("doc_id % 20 = 0").select(F.col("id").alias("question_id"), "text")
+    return asked, RT.search(letter_counts(docs), asked, V.TOP_K, letter_counts, len(_LETTERS))
+
+
+def _letters_sql(text: str) -> str:
+    return "[" + ", ".join(f"CAST(length({text}) - length(replace({text}, '{c}', '')) AS DOUBLE)" for c in _LETTERS) + "]"
+
+
+SEARCH_SQL = f"""v AS (SELECT doc_id, text, source, {_letters_sql('text')} AS v FROM documents WHERE text IS NOT NULL),
+q AS (SELECT CAST(doc_id AS VARCHAR) AS question_id, {_letters_sql('text')} AS q FROM documents WHERE doc_id % 20 = 0 AND text IS NOT NULL),
+s AS (SELECT question_id, CAST(doc_id AS VARCHAR) AS id, text, source, round(list_cosine_similarity(q, v), 9) AS similarity FROM q, v
+  WHERE list_sum(q) > 0 AND list_sum(v) > 0),
+hits AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY similarity DESC, id) AS rank FROM s QUALIFY rank <= 5)"""
+
+
+@query(
+    "text_search",
+    f"""WITH {SEARCH_SQL} SELECT question_id, CAST(rank AS INTEGER) AS rank, id, round(1 - similarity + 1e-8, 4) AS distance,
+  {sql_redact('text')} AS text, source FROM hits WHERE length(text) > 0""",
+)
+def text_search(spark, sf):
+    """Every twentieth document as a question against all documents, with an encoder that SQL can repeat."""
+    return rounded(_searched(spark, sf)[1], ["distance"], 4)
+
+
+@query(
+    "question_context",
+    f"""WITH {SEARCH_SQL} SELECT question_id, count(id) AS hits,
+  md5(string_agg({sql_redact('text')}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank)) AS context, TRUE AS answered
+FROM q LEFT JOIN hits USING (question_id) GROUP BY question_id""",
+)
+def question_context(spark, sf):
+    """The same questions through hits and context to an extract."""
+    asked, hits = _searched(spark, sf)
+    told = RT.answered(asked, hits, V.TOP_K)
+    return told.select("question_id", "hits", F.md5("context").alias("context"), (F.length("answer") > 0).alias("answered"))
