@@ -76,9 +76,10 @@ def ledger_ingest(spark, sf):
 def ingest_manifest(spark, sf):
     folder, landing = yearly_files(spark, sf), scratch_path(spark, "landing")
     J.ingest_files(spark, folder, landing, f"{landing}/state")
-    found = J.manifest(D.list_files(spark, folder), J.ledger(spark, landing))
-    years = F.size(F.array_distinct(F.transform("files", lambda p: D.year_of(p)))).cast("long")
-    return found.select(years.alias("years"), "new_files", (F.col("skipped_files") == F.col("total_files")).alias("all_skipped"))
+    listed, noted = D.list_files(spark, folder), J.ledger(spark, landing)
+    years = J.manifest_rows(listed, noted).agg(F.countDistinct(D.year_of(F.col("path"))).alias("years"))
+    found = J.manifest(listed, noted).withColumn("years", years.scalar())
+    return found.select("years", "new_files", (F.col("skipped_files") == F.col("total_files")).alias("all_skipped"))
 
 
 @query(
