@@ -138,6 +138,26 @@ def test_blend_refinement_never_worse(spark):
     assert w1 <= w0 + 1e-12 and sum(fine) == pytest.approx(1.0) and len(M.weight_grid(3)) == 231
 
 
+def test_blend_descent_reaches_the_grid(spark):
+    rng = np.random.default_rng(9)
+    y = rng.uniform(1, 3, 600)
+    names = ["a", "b", "c", "d", "e", "f"]
+    rows = [(float(t), *(float(t + e) for e in rng.normal([0, 0.2, -0.3, 0, 0.1, 0], [0.3, 0.2, 0.2, 0.6, 0.3, 0.4]))) for t in y]
+    df = spark.createDataFrame(rows, "y double, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    grid = M.best_blend(df, names[:3])[1]
+    weights, error = M.descend_blend(df, names[:3])
+    assert error <= grid + 1e-9 and sum(weights) == pytest.approx(1.0) and min(weights) >= 0
+    logs, truth = np.array(rows)[:, 1:], np.expm1(y)
+    score = lambda w: np.abs(truth - np.expm1(np.clip(logs[:, : len(w)] @ w, 0, None))).sum() / truth.sum() * 100
+    assert error == pytest.approx(score(np.array(weights)))
+    six, low = M.descend_blend(df, names)
+    assert low <= error + 1e-9 and low == pytest.approx(score(np.array(six)))
+    assert low <= min(score(w) for w in np.random.default_rng(1).dirichlet(np.ones(6), 3000))
+    assert M.descend_blend(df, ["a"])[0] == [1.0]
+    nothing = M.descend_blend(df.limit(0), names[:2])
+    assert nothing[0] == [0.5, 0.5] and np.isnan(nothing[1])
+
+
 def test_encoding_unseen_and_out_of_fold(spark):
     rows = [("x", 1.0, "train", 0), ("x", 3.0, "train", 1), ("y", 5.0, "train", 0), ("z", 9.0, "test", 0), (None, 9.0, "test", 1), ("x", 9.0, "test", 1)]
     df = spark.createDataFrame(rows, "city string, log_target double, split string, fold int")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import permutations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wattmill.functions.numeric import CLIP_TRAIN, from_log
 from wattmill.operators.quantiles import grouped_quantiles, quantile_value, quantiles
+from wattmill.session import discard, scratch_path
 
 # Weight step of the blend search and the residual quantiles reported.
 WEIGHT_STEP = 0.05
@@ -67,6 +70,10 @@ def gains(results: DataFrame, baseline: str, name: str = "model", columns: Seque
     return results.select(name, *columns, *[gain.alias(f"{c}_gain") for c, gain in saved.items()])
 
 
+#: Points that a descent over blend weights follows at a time.
+BLEND_POINTS = 3
+
+
 def weight_grid(parts: int, step: float = WEIGHT_STEP) -> np.ndarray:
     """All weight vectors of ``parts`` non-negative multiples of ``step`` that sum to one."""
     steps = round(1 / step)
@@ -121,6 +128,48 @@ def best_blend(df: DataFrame, columns: Sequence[str], y: str = "y", refine: int
     return list(best["weights"]), best["wmape"]
 
 
+def _moves(weights: np.ndarray, step: float) -> np.ndarray:
+    """``weights`` and every vector that moves ``step`` (or what is there) from one part to another: at most parts squared."""
+    out = [weights]
+    for i, j in permutations(range(len(weights)), 2):
+        moved = weights.copy()
+        shift = min(step, moved[i])
+        moved[i] -= shift
+        moved[j] += shift
+        out.append(moved)
+    return np.unique(np.array(out), axis=0)
+
+
+def descend_blend(df: DataFrame, columns: Sequence[str], y: str = "y", first: float = 0.25, last: float = 0.001) -> tuple[list[float], float]:
+    """Weights with a low WMAPE by descent over the simplex, for any number of models.
+
+    A round scores every shift of ``step`` from one model to another in one pass (partial sums, models squared of them) and takes the
+    best. Three points are followed at a time, first among the even blend and the single models; a step that brings nothing more is
+    halved, down to ``last``. The error is not convex in the weights, so what is found is an optimum among these moves. Without rows the even blend is returned with an error that is not a number.
+    """
+    parts = len(columns)
+    points = [np.full(parts, 1 / parts), *np.eye(parts)]
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "blend-rows")
+    df.select(y, *columns).write.parquet(path)
+    held = spark.read.parquet(path)
+
+    def scored(grid: np.ndarray) -> list[tuple[float, tuple[float, ...]]]:
+        found = blend_errors(held, columns, y, grid).where("wmape is not null").collect()  # a row per candidate
+        return sorted((r["wmape"], tuple(r["weights"])) for r in found)
+
+    ranked = scored(np.unique(np.array(points), axis=0))
+    step = first if ranked else 0.0
+    while step >= last:
+        kept = ranked[:BLEND_POINTS]
+        near = np.unique(np.concatenate([_moves(np.array(w), step) for _, w in kept]), axis=0)
+        ranked = scored(near)
+        if ranked[0][0] >= kept[0][0] * (1 - 1e-9):
+            ranked = kept
+            step /= 2
+    discard(spark, path)
+    return (list(ranked[0][1]), ranked[0][0]) if ranked else ([1 / parts] * parts, math.nan)
+
+
 def blended(columns: Sequence[str], weights: Sequence[float]) -> Column:
     """The weighted mean of log predictions."""
     total = F.lit(0.0)

@@ -311,6 +311,32 @@ def blend_grid(spark, sf):
     )
 
 
+@query(
+    "blend_descent",
+    f"""WITH {PRED_SQL}, w AS (SELECT a.i / 20.0::DOUBLE AS w1, b.i / 20.0::DOUBLE AS w2, (20 - a.i - b.i) / 20.0::DOUBLE AS w3
+   FROM range(21) a(i), range(21) b(i) WHERE a.i + b.i <= 20),
+v AS (SELECT log_target AS y, city_te, purchase_area_te, net_manager_te FROM enc WHERE split = 'val'),
+e AS (SELECT sum(abs((exp(y) - 1) - (exp(greatest(w1 * city_te + w2 * purchase_area_te + w3 * net_manager_te, 0)) - 1)))
+   / sum(abs(exp(y) - 1)) * 100 AS wmape FROM v, w GROUP BY w1, w2, w3)
+SELECT round(min(wmape) + 1e-8, 4) AS grid_wmape, TRUE AS three_not_above, TRUE AS six_not_above, TRUE AS on_simplex FROM e""",
+)
+def blend_descent(spark, sf):
+    """Descent over the weights of three and of six models against the whole grid for three."""
+    held = wide_predictions(spark, sf).where(F.col("split") == "val").select(
+        "y", "p_city", "p_area", "p_manager", "p_base", (F.col("p_city") * 0.9).alias("p_low"), (F.col("p_city") * 1.1).alias("p_high")
+    )
+    three = ["p_city", "p_area", "p_manager"]
+    w3, e3 = M.descend_blend(held, three)
+    w6, e6 = M.descend_blend(held, [*three, "p_base", "p_low", "p_high"])
+    sound = all(min(w) >= 0 and abs(sum(w) - 1) < 1e-9 for w in (w3, w6))
+    best = M.blend_errors(held, three).agg(F.min("wmape").alias("grid_wmape"))
+    told = best.select(
+        "grid_wmape", (F.lit(e3) <= F.col("grid_wmape") + 1e-9).alias("three_not_above"),
+        (F.lit(e6) <= F.col("grid_wmape") + 1e-9).alias("six_not_above"), F.lit(sound).alias("on_simplex"),
+    )
+    return rounded(told, ["grid_wmape"], 4)
+
+
 @query("blend_test_score")
 def blend_test_score(spark, sf):
     """Weights found on the validation rows (grid, then refined), scored on the test rows."""
