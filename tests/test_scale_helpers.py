@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wattmill.operators import lookup as LK
 from wattmill.operators import splits as S
 from wattmill.operators import quantiles as quantile_module
+from wattmill.operators.chatlog import responses_with_hits
 from wattmill.operators.quantiles import grouped_quantiles, order_statistics, quantiles
 from wattmill.operators.running import running_totals
 
@@ -120,3 +121,18 @@ def test_missed_bracket_is_widened(spark, monkeypatch):
     monkeypatch.setattr(quantile_module, "_brackets", lambda s, p, slack: widened.append(slack) or plain(s, p, abs(slack) if len(widened) > 1 else slack))
     got = quantiles(frame(spark, values), {"m": (F.col("x"), 0.37)}).first()["m"]
     assert len(widened) == 2 and np.isclose(got, np.quantile(values, 0.37))
+
+
+def test_sample_is_exact_where_keys_repeat(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(700)], "k int, v int").repartition(3)
+    for most in (1, 99, 100, 101, 699):
+        got = S.sample_rows(df, ["k"], most).collect()
+        assert len(got) == most == len({r["v"] for r in got})
+    assert S.sample_rows(df, ["k"], 700).count() == 700
+
+
+def test_hit_lists_are_bounded(spark):
+    responses = spark.createDataFrame([("a",), ("b",), ("c",)], "response_id string")
+    hits = spark.createDataFrame([("a", i, f"t{i}") for i in range(50)] + [("b", 1, "x")], "response_id string, rank int, text string")
+    got = {r["response_id"]: r["hits"] for r in responses_with_hits(responses, hits, ["rank"], ["text"], most=3).collect()}
+    assert [h["text"] for h in got["a"]] == ["t0", "t1", "t2"] and len(got["b"]) == 1 and got["c"] is None

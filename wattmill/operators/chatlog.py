@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -180,11 +181,17 @@ def confidences(responses: DataFrame, hits: DataFrame, key: str = "response_id")
     )
 
 
-def responses_with_hits(responses: DataFrame, hits: DataFrame, order: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Each response with its hits as a list in stored order.
+def responses_with_hits(
+    responses: DataFrame, hits: DataFrame, order: Sequence[str], fields: Sequence[str], most: int | None = None
+) -> DataFrame:
+    """Each response with its hits as a list in stored order, the first ``most`` of them if given.
 
-    A response stores at most the hits of one search, so its list is short.
+    A response stores at most the hits of one search, so its list is short; pass ``most`` where that is not sure: each task then
+    drops what lies beyond before rows are shuffled.
     """
+    if most is not None:
+        place = F.row_number().over(W.partitionBy("response_id").orderBy(*order))
+        hits = hits.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
     ordered = F.sort_array(F.collect_list(F.struct(*order, *[F.col(f).alias(f"_f_{f}") for f in fields])))
     lists = hits.groupBy("response_id").agg(
         F.transform(ordered, lambda h: F.struct(*[h[f"_f_{f}"].alias(f) for f in fields])).alias("hits")

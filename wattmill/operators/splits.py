@@ -68,13 +68,20 @@ def exact_split(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFram
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], most: int, seed: int = SEED) -> DataFrame:
-    """At most ``most`` rows without replacement, all rows when there are no more than that."""
+    """At most ``most`` rows without replacement, all rows when there are no more than that.
+
+    Rows whose hash ties at the cut are taken in order of ``key``, so the number is exact even where keys repeat.
+    """
     placed = _with_place(df, key, seed)
     rows = placed.count()
     if rows <= most:
         return df
     cut = _order_cut(placed, {"last": most}, rows)
-    return placed.where(F.col("_place") <= cut["last"]).drop("_place")
+    counts = placed.agg(F.count_if(F.col("_place") < cut["last"]).alias("below"), F.count_if(F.col("_place") == cut["last"]).alias("tied")).first()
+    if counts["below"] + counts["tied"] <= most:
+        return placed.where(F.col("_place") <= cut["last"]).drop("_place")
+    last = placed.where(F.col("_place") == cut["last"]).orderBy(*key).limit(most - counts["below"])
+    return placed.where(F.col("_place") < cut["last"]).unionByName(last).drop("_place")
 
 
 def year_list(df: DataFrame, year: str = "year") -> Column:
