@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pyarrow as pa
@@ -66,6 +67,44 @@ def test_disguises_need_no_other_hint(spark):
     assert clean[:3] == ["Call <phone> today.", "Host <ip> is up.", "<phone>"]
 
 
+@pytest.mark.parametrize(
+    "text,kind,span",
+    [
+        ("ruf an: plus vier neun drei null eins zwei drei vier fünf sechs sieben heute", "phone", "plus vier neun drei null eins zwei drei vier fünf sechs sieben"),
+        ("llame al más tres cuatro nueve uno dos tres cuatro cinco seis cero hoy", "phone", "más tres cuatro nueve uno dos tres cuatro cinco seis cero"),
+        ("eins neun zwei punkt eins punkt null punkt zwei", "ip", "eins neun zwei punkt eins punkt null punkt zwei"),
+        ("maria arroba example punkt de", "email", "maria arroba example punkt de"),
+        ("jean arobase exemple point fr.", "email", "jean arobase exemple point fr"),
+        ("an john(@)example.com!", "email", "john(@)example.com"),
+        ("x john%40example.com y", "email", "john%40example.com"),
+        ("john&#64;example&#46;org x", "email", "john&#64;example&#46;org"),
+        ("an j o h n @ e x a m p l e . c o m and so on", "email", "j o h n @ e x a m p l e . c o m"),
+        ("john at mail dot example dot museum", "email", "john at mail dot example dot museum"),
+        ("write to john at example dot com now", "email", "john at example dot com"),
+        ("ring %2b49 30 1234567890", "phone", "%2b49 30 1234567890"),
+    ],
+)
+def test_disguises_of_four_languages_and_encodings(text, kind, span):
+    base, added = pii.spans_of(text)
+    assert base == [] and [(pii.KINDS[k], text[a:b]) for a, k, b in added] == [(kind, span)]
+
+
+def test_words_beside_plain_identifiers_add_nothing():
+    for text in (
+        "looked at example dot com", "at this point in time we stood", "stared at a dot on the map", "a b c @ d", "un punto de vista", "a point de plus",
+        "john@example.com point taken", "+1 (389) 555-4387 un homme", "+1 (389) 555-4387 one more", "50% 40 people & 46 more",
+    ):
+        assert pii.spans_of(text)[1] == [], text
+    assert [b - a for a, _, b in pii.spans_of("+1 389 555 4387 one two three")[1]] == [29]
+
+
+@pytest.mark.parametrize("piece", ["a ", " @ a", "uno dos ", "x at ", "a dot ", "a punkt ", "( ", "at a dot b", "&#", "%4"])
+def test_repeated_pieces_take_linear_time(piece):
+    start = time.perf_counter()
+    pii.spans_of(piece * 100_000)
+    assert time.perf_counter() - start < 20
+
+
 def test_pii_edges(spark):
     long_run, long_local = "9" * 200_000, "a" * 200_000 + "@"
     frame = rows(spark, [None, "", long_run, long_local, "me@x.org", "me@x.org"], "doc_id long, text string, spans string")

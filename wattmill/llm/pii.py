@@ -2,10 +2,12 @@
 
 Base spans are what four plain patterns find: e-mail addresses, IPv4 addresses, payment
 cards and phone numbers. A transducer then rewrites disguises to a normal form
--- look-alike letters and digits, invisible characters, spelled digits, ``[at]``, ``(dot)``,
-``name at host dot tld`` -- and records for every rewritten place where it came
+-- look-alike letters and digits, invisible characters, digits spelled in four languages, ``[at]``, ``(@)``, ``(dot)``,
+``name at host dot tld`` and its German, Spanish and French forms, ``%40``, entities, addresses with a blank after every
+character -- and records for every rewritten place where it came
 from. The same detectors run over the normal form; a span found there is mapped back to the
-original characters and added when it holds at least one rewritten place and is not inside a base span.
+original characters and added when it holds at least one rewritten place and is not inside a base span; a base card or phone number
+is not extended by a single digit word after it.
 
 Offsets are code points of the original text, end exclusive. Null and empty texts
 have no spans. Every scan is linear in the text, so very long texts and runs are safe.
@@ -84,9 +86,22 @@ _LOOKALIKES = {
     "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ı": "i", "ɡ": "g", "․": ".", "。": ".", "‐": "-", "‑": "-", "–": "-", " ": " ",
     "﹫": "@", "﹒": ".", "﹢": "+",
 }
-_DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-#: Endings that a host has to have for bare ``at`` and ``dot`` to be taken for a disguise.
-_ENDINGS = "com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu|it|nl|us|ch|at|ru|cn|jp|in|br|biz|dev|app"
+# Words for the digits 0 to 9 in English, German, Spanish and French.
+_DIGIT_LISTS = (
+    "zero one two three four five six seven eight nine",
+    "null eins zwei drei vier fünf sechs sieben acht neun",
+    "cero uno dos tres cuatro cinco seis siete ocho nueve",
+    "zéro un deux trois quatre cinq six sept huit neuf",
+)
+_DIGIT_WORDS = {word: str(i) for words in _DIGIT_LISTS for i, word in enumerate(words.split())}
+_DIGIT_WORDS |= {"fuenf": "5", "fÜnf": "5", "zwo": "2", "zÉro": "0"}
+#: Endings that a host of two labels has to have for bare ``at`` and ``dot`` to be taken for a disguise; longer hosts may have any.
+_ENDINGS = "com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu|it|nl|us|ch|at|ru|cn|jp|in|br|biz|dev|app|museum|mx|ar|ca|pl|se|email|cloud|online"
+#: Words before a bare ``at`` that make it a preposition.
+_PROSE = frozenset(
+    "look looks looked looking stare stared see seen meet met arrive arrived arriving available found find listed hosted based work works worked"
+    " working live lived living is are was were be been it them us me him her you here there and or not point pointed aimed visit page site".split()
+)
 _INVISIBLE = "­​‌‍⁠﻿"
 
 
@@ -99,28 +114,79 @@ def _wide() -> dict[str, str]:
 
 
 _CHARS = {**_wide(), **_LOOKALIKES, **dict.fromkeys(_INVISIBLE, "")}
-_WORD = "|".join(_DIGIT_WORDS)
-_NUMBER = rf"(?:{_WORD})(?![A-Za-z])"
-#: One rewritable place; the digit word takes the blanks up to a next digit or digit word with it.
+_WORD = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
+_FIRST = sorted({w[0] for w in _DIGIT_WORDS})
+_NUMBER = rf"(?:{_WORD})(?![A-Za-zÀ-ÿ])"
+#: The rest of a digit word whose first letter was read.
+_NUMBER_REST = "|".join(
+    f"(?<={c})(?:{'|'.join(w[1:] for w in sorted(_DIGIT_WORDS, key=len, reverse=True) if w[0] == c)})" for c in _FIRST
+)
+_LABEL = "[a-z0-9-]{1,63}"
+_DOT = r"(?:[\x20](?:dot|punkt|punto)[\x20])"
+_ANY_DOT = r"(?:\.|[\x20](?:dot|punkt|punto|point)[\x20])"
+
+
+def _bracketed(words: str) -> str:
+    pairs = (r"\[", r"\]"), (r"\(", r"\)"), (r"\{", r"\}"), ("<", ">")
+    return rf"(?:{'|'.join(rf'{a}[\x20]?(?:{words})[\x20]?{b}' for a, b in pairs)})[\x20]?"
+
+
+_AT_SIGN, _DOT_SIGN = _bracketed("at|@|ät|arroba|arobase"), _bracketed(r"dot|\.|punkt|punto|point")
+#: One rewritable place; the digit word takes the blanks up to a next digit or digit word with it. Every alternative starts with a
+#: set of characters, so that most places of a text fail at once, and ends with an empty group that names it.
 _PLACES = re.compile(
-    rf"(?P<char>[{''.join(map(re.escape, _CHARS))}])"
-    r"|(?P<at>[\x20]?(?:\[[\x20]?at[\x20]?\]|\([\x20]?at[\x20]?\)|\{[\x20]?at[\x20]?\}|<[\x20]?at[\x20]?>)[\x20]?)"
-    r"|(?P<dot>[\x20]?(?:\[[\x20]?dot[\x20]?\]|\([\x20]?dot[\x20]?\)|\{[\x20]?dot[\x20]?\}|<[\x20]?dot[\x20]?>)[\x20]?)"
-    r"|(?P<bareat>(?<=[a-z0-9._%+-])[\x20]at[\x20](?=[a-z0-9-]{1,63}(?:[\x20]dot[\x20][a-z0-9-]{1,63}){0,4}?[\x20]dot[\x20](?:"
-    + _ENDINGS
-    + r")(?![a-z0-9-])))"
-    r"|(?P<baredot>(?<=[a-z0-9])[\x20]dot[\x20](?=[a-z0-9]))"
-    rf"|(?P<plus>(?<![a-z])plus[\x20](?={_NUMBER}|[0-9]))"
-    r"|(?P<slip>(?<=[0-9])[oil](?=[0-9]))"
-    rf"|(?P<number>(?:{_WORD})(?![a-z])(?:[\x20-](?={_NUMBER}|[0-9])(?!(?:{_WORD})[a-z]))?)"
+    rf"[{''.join(map(re.escape, _CHARS))}](?P<char>)"
+    rf"|(?=[\[({{<])(?:{_AT_SIGN}(?P<at>)|{_DOT_SIGN}(?P<dot>))"
+    r"|[&%](?:(?:(?<=&)(?:#64;|#x40;|commat;)|(?<=%)40)(?P<codeat>)"
+    r"|(?:(?<=&)(?:#46;|#x2e;|period;)|(?<=%)2e)(?P<codedot>)"
+    r"|(?:(?<=&)(?:#43;|#x2b;|plus;)|(?<=%)2b)(?P<codeplus>))"
+    rf"|[\x20](?:{_AT_SIGN}(?P<blankat>)|{_DOT_SIGN}(?P<blankdot>)"
+    rf"|(?<=[a-z0-9._%+-].)(?:at|ät)[\x20](?={_LABEL}(?:{_DOT}{_LABEL}){{0,4}}?{_DOT}"
+    rf"(?:(?:{_ENDINGS})(?![a-z0-9-])|{_LABEL}{_DOT}[a-z]{{2,24}}(?![a-z0-9-])))(?P<bareat>)"
+    rf"|(?<=[a-z0-9._%+-].)(?:arroba|arobase|klammeraffe)[\x20](?={_LABEL}{_ANY_DOT}[a-z0-9])(?P<wordat>)"
+    r"|(?<=[a-z0-9].)dot[\x20](?=[a-z0-9])(?P<baredot>)"
+    rf"|(?<=[a-z0-9].)(?<!\.com.|\.org.|\.net.)(?<!\.de.|\.fr.|\.es.)(?:punkt|punto|point)[\x20]"
+    rf"(?={_NUMBER}|[0-9]|(?:{_LABEL}{_ANY_DOT}){{0,4}}?(?:{_ENDINGS})(?![a-z0-9-]))(?P<worddot>))"
+    rf"|[pm](?<![a-z].)(?:(?<=p)lus|(?<=m)[aáÁ]s)[\x20](?={_NUMBER}|[0-9])(?P<plus>)"
+    r"|[oil](?<=[0-9].)(?=[0-9])(?P<slip>)"
+    rf"|[{''.join(_FIRST)}](?<![a-z].)(?:{_NUMBER_REST})(?![A-Za-zÀ-ÿ])(?:[\x20-](?={_NUMBER}|[0-9]))?(?P<number>)"
 )
+#: What follows an ``@`` when every letter is set apart by a blank.
+_SPACED_HOST = re.compile(r"(?:[\x20][a-z0-9-](?![a-z0-9-]))++(?:[\x20]\.(?:[\x20][a-z0-9-](?![a-z0-9-]))++)+")
+_SPACED_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
+
+def _spaced(lowered: str) -> list[int]:
+    """Blanks inside addresses written with a blank between all characters."""
+    blanks: list[int] = []
+    last, at = 0, lowered.find(" @ ")
+    while at >= 0:
+        start = at + 1
+        if host := _SPACED_HOST.match(lowered, at + 2):
+            while start - 2 >= last and lowered[start - 1] == " " and lowered[start - 2] in _SPACED_LOCAL and (start == 2 or not lowered[start - 3].isalnum()):
+                start -= 2
+            if start <= at:
+                blanks += [i for i in range(start, host.end()) if lowered[i] == " "]
+                last = host.end()
+        at = lowered.find(" @ ", max(last, at + 2))
+    return blanks
 
 
 def _ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
-_SIGNS = {"at": "@", "bareat": "@", "dot": ".", "baredot": ".", "plus": "+"}
+#: What a named place stands for, by the end of its name.
+_SIGNS = {before + name: sign for before in ("", "code", "blank", "bare", "word") for name, sign in (("at", "@"), ("dot", "."), ("plus", "+"))}
+
+
+def _word_before(lowered: str, end: int) -> str:
+    start = end
+    while start and end - start < 16 and lowered[start - 1].isalpha():
+        start -= 1
+    return lowered[start:end]
+
+
 #: Letters between digits that stand for a digit.
 _SLIPS = {"o": "0", "i": "1", "l": "1"}
 
@@ -134,21 +200,30 @@ class Normal:
         self.at: list[int] = [0]  # where segments start in the normal form
         self.source: list[tuple[int, int, bool]] = []  # their start and end in the text, rewritten or not
         self.edits: list[int] = []  # rewritten places of the text
-        done = 0
+        places: list[tuple[int, int, str]] = []
         for m in _PLACES.finditer(lowered):
-            kind = m.lastgroup
-            if kind == "number" and m.start() and lowered[m.start() - 1].isalpha():
-                continue
-            if kind == "char":
-                new = _CHARS[text[m.start()]]
-            elif kind == "number":
+            kind, start = m.lastgroup, m.start()
+            if kind == "number":
+                if start and lowered[start - 1].isalpha():
+                    continue
                 new = _DIGIT_WORDS[m[0].rstrip(" -")]
+            elif kind == "char":
+                new = _CHARS[text[start]]
+            elif kind == "bareat" and _word_before(lowered, start) in _PROSE:
+                continue
             else:
                 new = _SIGNS.get(kind) or _SLIPS[m[0]]
-            self._add(parts, text[done : m.start()], done, m.start(), False)
-            self._add(parts, new, m.start(), m.end(), True)
-            self.edits.append(m.start())
-            done = m.end()
+            places.append((start, m.end(), new))
+        if blanks := _spaced(lowered):
+            places = sorted(places + [(i, i + 1, "") for i in blanks])
+        done = 0
+        for start, end, new in places:
+            if start < done:
+                continue
+            self._add(parts, text[done:start], done, start, False)
+            self._add(parts, new, start, end, True)
+            self.edits.append(start)
+            done = end
         self._add(parts, text[done:], done, len(text), False)
         self.text = "".join(parts)
 
@@ -166,7 +241,11 @@ class Normal:
         from_ = a if fresh else a + start - self.at[first]
         a, b, fresh = self.source[last]
         to = b if fresh else a + end - self.at[last]
-        return from_, to, bisect.bisect_left(self.edits, from_) < bisect.bisect_left(self.edits, to)
+        return from_, to, self.places(from_, to) > 0
+
+    def places(self, start: int, end: int) -> int:
+        """Rewritten places between two characters of the text."""
+        return bisect.bisect_left(self.edits, end) - bisect.bisect_left(self.edits, start)
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
@@ -184,8 +263,11 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
             a += 1
         spans = held[kind]
         near = bisect.bisect_right(spans, (a, len(text) + 1)) - 1
-        if changed and not (near >= 0 and spans[near][1] >= b):
-            found.append((a, kind, b))
+        if not changed or near >= 0 and spans[near][1] >= b:
+            continue
+        if kind >= 2 and near >= 0 and spans[near][0] == a and normal.places(spans[near][1], b) < 2:
+            continue  # a number and the one word after it
+        found.append((a, kind, b))
     return found
 
 
