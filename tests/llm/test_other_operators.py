@@ -182,9 +182,10 @@ def test_mix_keeps_rows_and_weights(spark):
 # ---- top-k
 
 
-@pytest.mark.parametrize("tile", [512, 3])
-def test_top_k_equals_brute_force(spark, tile, monkeypatch):
+@pytest.mark.parametrize("tile,cell", [(512, topk.CELL), (3, 400)])
+def test_top_k_equals_brute_force(spark, tile, cell, monkeypatch):
     monkeypatch.setattr(topk, "TILE", tile)
+    monkeypatch.setattr(topk, "CELL", cell)
     rng = random.Random(tile)
     data = []
     for i in range(400):
@@ -223,6 +224,22 @@ def test_top_k_equals_brute_force(spark, tile, monkeypatch):
     assert topk.exact_top_k(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_skips_groups_of_far_vectors(spark):
+    rng = random.Random(5)
+    centres = [[rng.uniform(-1, 1) for _ in range(8)] for _ in range(12)]
+    centres = [[x / math.sqrt(sum(y * y for y in c)) for x in c] for c in centres]
+    data = [(i, [x + rng.uniform(-0.02, 0.02) for x in centres[i % 12]], i % 20 == 0) for i in range(6000)]
+    frame = spark.createDataFrame(data, "id long, vector array<float>, asks boolean")
+    first, rest = topk.search_rounds(frame, 5, 32)
+    scored = sum(d.agg(F.sum("scored")).first()[0] or 0 for d in (first, rest))
+    assert scored < 0.2 * 300 * 6000
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.exact_top_k(frame, F.col("asks"), 5, id_col="id", vector_col="vector").collect()}
+    whole = [[math.floor(256 * x) for x in r["vector"]] for r in frame.orderBy("id").collect()]
+    for q in range(0, 6000, 500):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in enumerate(whole) if i != q)[:5]
+        assert [got[q, n + 1] for n in range(5)] == [(i, -s) for s, i in best]
+
+
 # ---- pipeline
 
 
