@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from tests.llm import plain
 from wattmill.llm import bpe, licences, neardup, pii, quality, toxicity
@@ -146,6 +147,17 @@ def test_order_is_rejection_per_cost_and_changes_no_verdict(spark):
         for o in (quality.RULES, tuple(reversed(quality.RULES)))
     ]
     assert verdicts[0] == verdicts[1] == [False, True, False]
+    known = ("n_words", "word_chars", "n_repeat_words")
+    lazy = quality.measure(docs, counts=known).orderBy("doc_id").select(quality.cascade(order, F.col("text"), known).isNull().alias("v"))
+    assert [r["v"] for r in lazy.collect()] == [False, True, False]
+
+
+def test_rule_costs_are_above_an_empty_job(spark):
+    texts = ["a " * 50, None, "", "# " * 30, "AB CD " * 6] + ["good words stand here and nothing else is wrong with them at all"] * 15
+    found = {e.name: e for e in quality.estimate(rows(spark, texts), rows=1000)}
+    assert all(e.seconds >= quality.LEAST for e in found.values())
+    assert found["few_words"].share == 0.1 and found["symbols"].share == 0.05
+    assert all(e.seconds == 0 for e in quality.estimate(rows(spark, texts).limit(0)))
 
 
 # ---- near-copies

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmill.llm import bpe, licences, mixing, neardup, quality
-from wattmill.llm.common import table
+from wattmill.llm.common import table, text_or_empty
 from wattmill.plans.registry import query
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -46,13 +46,13 @@ QUALITY_SQL = r"""
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     order = quality.ordered(quality.RULES, quality.estimate(docs))
-    measured = quality.measure(docs)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    measured = quality.measure(docs, counts=counts)
     base = F.col("n_words") < 10
     base = base | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measured.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), quality.cascade(order).isNull().alias("kept"),
-    )
+    # what the result does not show is counted only where the rules come to it
+    verdict = quality.cascade(order, text_or_empty(), counts).isNull()
+    return measured.select("doc_id", *counts, base.alias("base_failed"), F.when(base, False).otherwise(verdict).alias("kept"))
 
 
 @query("op4_near_copies")
