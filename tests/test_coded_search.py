@@ -73,3 +73,15 @@ def test_absent_and_small(spark, cloud):
     one = spark.createDataFrame([(7, [2.0] * DIM)], "query_id long, embedding array<double>")
     got = Q.search(index, few, one, 5).orderBy("rank").collect()
     assert [(r["vec_id"], r["similarity"]) for r in got] == [(1, 1.0), (2, 1.0), (3, -1.0)]
+
+
+def test_queries_search_the_coded_index(spark, tmp_path):
+    """The registered queries go through the coded index, on rows with ids and labels of their own."""
+    from wattmill.plans.catalog import chat
+
+    rng = np.random.default_rng(5)
+    rows = [(i, v, i % 4) for i, v in enumerate(rng.normal(size=(400, 64)).astype(np.float32).tolist())]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    top = chat.coded_top_k(spark, str(tmp_path)).collect()
+    assert {(r["query_id"], r["rank"]) for r in top} == {(q, k) for q in range(4) for k in range(1, 6)}
+    assert all(r["recall_reached"] and r["share_below"] for r in chat.coded_recall(spark, str(tmp_path)).collect())
