@@ -93,14 +93,18 @@ def stream_tokens(spark, sf):
     """Running token totals kept by a stream over the conversation file."""
     target = scratch_path(spark, "totals")
     schema = spark.read.parquet(f"{sf}/conversations.parquet").schema
-    turns = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
+    # a pattern, so that a single file and a folder of part files are read alike
+    turns = spark.readStream.schema(schema).parquet(f"{sf}/conversations.parque[t]")
     words = F.size(F.split("text", " ")).cast("long")
     user = F.col("role") == "user"
     used = turns.select(
         "conv_id", F.when(user, words).alias("input_tokens"), F.when(~user, words).alias("output_tokens"), words.alias("total_tokens")
     )
     J.token_totals(used, f"{target}/rows", f"{target}/state", key="conv_id")
-    return J.latest_totals(spark, f"{target}/rows")
+    found = J.latest_totals(spark, f"{target}/rows")
+    if found is None:
+        return spark.createDataFrame([], "conv_id long, input_tokens long, output_tokens long, total_tokens long, message_count long")
+    return found
 
 
 @query("layer_roundtrip", f"WITH {SILVER_SQL} SELECT year, count(*) AS n, round(sum(log_target) + 1e-8, 4) AS logs FROM silver GROUP BY year")
