@@ -10,6 +10,7 @@ from wattmill.operators.quantiles import quantiles
 from wattmill.plans.registry import query
 from wattmill.plans.rounding import settled
 from wattmill.plans.views import DIRTY_SQL, PLAIN, USAGE_SQL, table, usage, usage_dirty
+from wattmill.session import stage
 
 ROWS = PLAIN
 #: Columns by which a dirty row is told from its copies (all of them, key included).
@@ -89,7 +90,7 @@ def percents_in_range(spark, sf):
   WHERE annual_consume <= (SELECT quantile_cont(annual_consume, 0.995) FROM usage)""",
 )
 def outlier_rule(spark, sf):
-    return C.below_quantile(usage(spark, sf).select(*ALL), "annual_consume")
+    return C.below_quantile(stage(usage(spark, sf).select(*ALL), "usage-rows"), "annual_consume")
 
 
 @query(
@@ -101,7 +102,7 @@ def outlier_rule(spark, sf):
 def outlier_rule_derived(spark, sf):
     from wattmill.operators.features import exploration_target
 
-    return exploration_target(usage(spark, sf).select(*ALL)).withColumn(
+    return exploration_target(stage(usage(spark, sf).select(*ALL), "usage-rows")).withColumn(
         "consume_per_conn", settled(F.col("consume_per_conn"))
     )
 
@@ -112,7 +113,7 @@ def outlier_rule_derived(spark, sf):
   WHERE annual_consume <= (SELECT quantile_cont(annual_consume, 0.995) FROM usage WHERE year <= 1999)""",
 )
 def outlier_rule_train_fit(spark, sf):
-    rows = usage(spark, sf).select(*ALL)
+    rows = stage(usage(spark, sf).select(*ALL), "usage-rows")
     return C.below_quantile(rows, "annual_consume", fit=rows.where(F.col("year") <= 1999))
 
 
@@ -270,7 +271,7 @@ def clamp_round_cut(spark, sf):
 def exact_quantiles(spark, sf):
     use = F.col("annual_consume")
     found = quantiles(
-        usage(spark, sf),
+        stage(usage(spark, sf).select("annual_consume", "num_connections"), "usage-rows"),
         {"p005": (use, 0.005), "p50": (use, 0.5), "p995": (use, 0.995), "conn95": (F.col("num_connections"), 0.95)},
     )
     return found.select(
