@@ -136,3 +136,43 @@ def test_hit_lists_are_bounded(spark):
     hits = spark.createDataFrame([("a", i, f"t{i}") for i in range(50)] + [("b", 1, "x")], "response_id string, rank int, text string")
     got = {r["response_id"]: r["hits"] for r in responses_with_hits(responses, hits, ["rank"], ["text"], most=3).collect()}
     assert [h["text"] for h in got["a"]] == ["t0", "t1", "t2"] and len(got["b"]) == 1 and got["c"] is None
+
+
+@pytest.mark.parametrize("cut", [lambda S, df: S.exact_split(df, ["id"]), lambda S, df: S.sample_rows(df, ["id"], 30), lambda S, df: S.sample_rows(df, ["id"], 90)])
+def test_splits_evaluate_their_input_once(spark, cut):
+    """Ranks are looked up in several scans, but the rows given are computed a single time."""
+    from wattmill.operators import splits as S
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(60).select(counted("id").alias("id"))
+    cut(S, df).collect()
+    assert seen.value == 60
+
+
+@pytest.mark.parametrize("name", ["outlier_rule", "outlier_rule_derived", "outlier_rule_train_fit"])
+def test_outlier_queries_join_their_tables_once(spark, name):
+    """The joined rows are written once; quantile scans and the filter read them from there."""
+    from wattmill.plans.catalog import cleaning
+
+    found = getattr(cleaning, name)(spark, "/root/testdata/sf0.001")
+    assert all("usage-rows" in path for path in found.inputFiles())
+
+
+def test_reports_fold_copies_once(spark, monkeypatch):
+    """Statistics and cleaned rows come from the same folded rows; copies are not looked for a second time."""
+    from wattmill.operators import cleaning as K
+    from wattmill.plans.catalog import layers
+
+    want = sorted(tuple(r) for r in layers.report_silver(spark, "/root/testdata/sf0.001").collect())
+
+    def again(*_):
+        raise AssertionError("copies were looked for a second time")
+
+    monkeypatch.setattr(K, "drop_copies", again)
+    assert sorted(tuple(r) for r in layers.report_silver(spark, "/root/testdata/sf0.001").collect()) == want
