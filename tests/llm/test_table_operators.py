@@ -200,3 +200,20 @@ def test_nothing_to_whiten(spark, vectors):
 def test_constant_direction_has_no_component(spark):
     frame = spark.createDataFrame([(i, [float(i), 3.0, float(i % 2)]) for i in range(9)], "vec_id long, embedding array<double>")
     assert {r["component"] for r in whitening.whiten(frame).collect()} == {1, 2}
+
+
+def test_mixing_deals_texts_out_once(spark, monkeypatch):
+    """Slots go to the rows where they fit; where they don't, rows and slots meet by block. Both give the same mixture."""
+    from wattmill.llm import mixing
+
+    docs = spark.createDataFrame([(i, f"text {i}", "abc"[i % 3 and 1 + i % 2]) for i in range(400)], "doc_id long, text string, source string")
+
+    def told(df):
+        return sorted((r["doc_id"], r["slot"], r["place"]) for r in df.collect())
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    sent = mixing.mix(docs)
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    dealt = mixing.mix(docs)
+    assert plan(sent).count("strategy=broadcast") == plan(dealt).count("strategy=broadcast") + 1
+    assert told(sent) == told(dealt)

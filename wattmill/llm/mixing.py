@@ -25,10 +25,13 @@ from collections.abc import Iterator, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattmill.operators.lookup import BROADCAST_BYTES
 from wattmill.operators.running import running_totals
 
 #: Slots of one fold, and rows of a block.
 CHUNK, BLOCK_ROWS = 1000, 16
+#: Bytes of one block's slot where all of them are held.
+SLOT_BYTES = 64
 #: Rows that one numbering block should hold.
 NUMBERING = 4096
 
@@ -166,7 +169,9 @@ def mix(
     slots_of = edf(spark.createDataFrame(plan, CHUNK_TYPE)).selectExpr("source as _mix_s", "block as _mix_k", "slot as _mix_slot")
     told = spark.createDataFrame(list(enumerate(names)), "_mix_s int, _mix_name string")
     found = numbered.join(F.broadcast(told), F.col(source).cast("string").eqNullSafe(F.col("_mix_name")), "left")
-    found = found.join(slots_of, ["_mix_s", "_mix_k"], "left")
+    # one row per block: sent to the rows while it fits, so that texts are not dealt out once more
+    few = sum(-(-counts[s] // block_rows) for s in names) * SLOT_BYTES <= BROADCAST_BYTES
+    found = found.join(F.broadcast(slots_of) if few else slots_of, ["_mix_s", "_mix_k"], "left")
     return found.select(
         *rows.columns, F.col("_mix_slot").alias("slot"), ((F.col("_mix_row") - 1) % block_rows).cast("int").alias("place")
     )
