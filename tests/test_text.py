@@ -1,6 +1,8 @@
 """Text expressions against plain statements of their rules, on fixed and random strings."""
 
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,3 +177,21 @@ def test_tool_content_shapes(spark):
     assert [[(h["id"], h["text"], h["source"]) for h in hits] if hits else hits for hits in got] == [
         [("1", "a", None)], [("2", "b", "s")], [("4", "d", None)], None, [],
     ]
+
+
+def test_timestamp_body_costs_no_square_of_a_line(spark):
+    """A line of 60,000 characters behind a timestamp; before, every start in it was tried to its end. Short texts against the plain rule."""
+    stamp, rng = "## Processado em: 2024", random.Random(3)
+    bits = [stamp, "PROCESSADO EM: 2023", "processado em:", "\n", "-", "wort ", "## ", "x" * 30, " "]
+    short = ["".join(rng.choice(bits) for _ in range(rng.randrange(4, 14))) for _ in range(300)]
+
+    def plainly(text):
+        bare = text.strip()
+        body = re.sub(r"(?i).*processado em:[^\n-]*", "", bare).strip(" -")
+        stamped = re.search(r"(?i)processado em:\s*\d{4}", bare)
+        return len(bare) < 80 or bool(re.fullmatch(r"#+ [^\n]+", bare)) or (bool(stamped) and len(body) < 50)
+
+    assert apply(spark, T.is_low_value, short) == [plainly(t) for t in short]
+    began = time.time()
+    assert apply(spark, T.is_low_value, [f"{stamp}\n" + "a" * 60_000]) == [False]
+    assert time.time() - began < 6
