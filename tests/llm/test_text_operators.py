@@ -3,6 +3,7 @@
 import hashlib
 import random
 import time
+from collections import Counter
 
 import public_tokenizers
 import pyarrow as pa
@@ -270,6 +271,36 @@ def test_licences_own_inherited_and_edges(spark):
     assert licences.scan(docs.limit(0), docs["path"]).count() == 0
 
 
+def test_licences_lines_without_licence_words_are_compared(spark):
+    """Every pair at the threshold counts, whatever words the line has; plain counting over all lines and templates is the check."""
+    lines = [
+        "Released under the MIT", "and use in source and binary forms, with or without modification, are permitted", "All rights",
+        "free of charge, to any person obtaining a copy of this software", "terms of the Mozilla Public", "of the in and to", "", "the version of this work",
+        "Attribution 4.0 International, Creative Commons", "under the Apache, Version 2.0", "CC BY 4.0", "by the source", "mit", "Public Public Public",
+        "Released under the MIT " + "word " * 40, "RIGHTS RESERVED, rights", "Source Code Form",
+    ]
+    rows = [(i, f"d{i}/x", f"{line}\n" + "prose goes on " * 60) for i, line in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    bags = [Counter(licences._terms_of(n)) for _, n in licences.TEMPLATES]
+    held = Counter(t for _, _, text in rows for t in set(licences._terms_of(text)))
+    known = {t for bag in bags for t in bag}
+    weigh = lambda bag: {t: n * licences.idf(held[t] if t in known else 0, len(rows)) for t, n in bag.items()}
+    size = lambda v: sum(x * x for x in v.values()) ** 0.5
+    wanted = {}
+    for i, _, text in rows:
+        scores = []
+        for line in text.split("\n"):
+            mine = weigh(Counter(licences._terms_of(line)))
+            for (name, _), bag in zip(licences.TEMPLATES, bags):
+                theirs = weigh(bag)
+                score = sum(x * theirs.get(t, 0.0) for t, x in mine.items()) / (size(mine) * size(theirs) or 1.0)
+                scores.append((score, name))
+        wanted[i] = max(scores)[1] if max(scores)[0] >= licences.THRESHOLD else None
+    found = {r["id"]: r["licence"] for r in licences.scan(docs, docs["path"]).collect()}
+    assert found == wanted
+    assert wanted[0] == "MIT" and wanted[1] == "BSD-3-Clause" and wanted[2] == "Proprietary"
+
+
 # ---- toxicity
 
 

@@ -1,9 +1,10 @@
 """Licence scan: sparse TF-IDF cosine to notice templates, then inheritance from the nearest directory.
 
-Every line that holds a licence word is compared with all templates: term counts times inverse document
+Every line that can reach a template is compared with all of them: term counts times inverse document
 frequency, cosine of the two sparse vectors, best template from :data:`THRESHOLD` on. Frequencies of the template terms are
 counted over all documents; terms of no template weigh as terms that no document holds. Lines are scored once
-each, however many documents repeat them.
+each, however many documents repeat them. No cosine is above the length of the template's part that the line shares
+(Cauchy-Schwarz), so lines for which that part is too short are left out without losing a pair.
 
 A document is a licence file when its name says so or when at least half of its words stand in licence lines. A
 document without a licence line of its own takes the licence of the licence file in its own directory or, failing that, in the nearest directory
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattmill.functions.binding import let
 from wattmill.llm.common import ascii_lower, text_or_empty
 from wattmill.operators.lookup import lookup
 from wattmill.session import stage
@@ -41,10 +43,12 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("Proprietary", "All rights reserved."),
 )
-#: A line without any of these is not compared; every template holds one.
+#: Words of licence lines; every template holds one.
 ANCHORS = "licen[cs]|permission|redistribut|reserved"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 THRESHOLD = 0.6
+#: Squared threshold, less what sums of doubles may lose.
+REACH = THRESHOLD * THRESHOLD - 1e-9
 TERMS = "[^a-z0-9]+"
 
 
@@ -71,6 +75,38 @@ def term_weights(docs: DataFrame, text: str, templates: Sequence[tuple[str, str]
     return {n: idf(found.get(n, 0), total) for n in names}, idf(0, total)
 
 
+def shares(weights: dict[str, float], templates: Sequence[tuple[str, str]]) -> list[dict[str, float]]:
+    """Per template the part of its squared length that each of its terms makes up."""
+    vectors = [{t: n * weights[t] for t, n in Counter(_terms_of(notice)).items()} for _, notice in templates]
+    return [{t: v * v / sum(x * x for x in vector.values()) for t, v in vector.items()} for vector in vectors]
+
+
+def telling_terms(parts: Sequence[dict[str, float]]) -> list[str]:
+    """Terms of which a line needs one at least to reach the threshold: the others of a template fall short of it all together."""
+    found: set[str] = set()
+    for part in parts:
+        short = 0.0
+        for term, share in sorted(part.items(), key=lambda p: (p[1], p[0])):
+            short += share
+            if short >= REACH:
+                found.add(term)
+    return sorted(found)
+
+
+def reaches(line: Column, parts: Sequence[dict[str, float]]) -> Column:
+    """Whether the terms that a line shares with some template make up enough of that template's length."""
+    known = F.array_intersect(terms(line), F.array(*[F.lit(t) for t in sorted({t for part in parts for t in part})]))
+
+    def enough(shared: Column) -> Column:
+        far = F.lit(False)
+        for part in parts:
+            share = F.create_map(*[F.lit(x) for pair in part.items() for x in pair])
+            far = far | (F.aggregate(shared, F.lit(0.0), lambda n, t: n + F.coalesce(F.element_at(share, t), F.lit(0.0))) >= REACH)
+        return far
+
+    return let(known, enough)
+
+
 def score_lines(lines: DataFrame, weights: dict[str, float], other: float, templates: Sequence[tuple[str, str]]) -> DataFrame:
     """``line, licence, score`` for the distinct ``line`` values whose best template reaches the threshold."""
     by_term = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
@@ -98,10 +134,12 @@ def scan(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text",
     """``id, licence, origin, directory``: ``origin`` is ``own``, ``inherited`` or null; ``directory`` is where an inherited licence file lies."""
     rows = docs.select(F.col(key).alias("id"), path.alias("path"), F.col(text).alias("text"))
     weights, other = term_weights(docs, text, templates)
-    hinted = rows.where(ascii_lower(F.col("text")).rlike(ANCHORS))
+    parts_of = shares(weights, templates)
+    telling = f"(?<![a-z0-9])(?:{'|'.join(telling_terms(parts_of))})(?![a-z0-9])"
+    hinted = rows.where(ascii_lower(F.col("text")).rlike(telling))
     lines = hinted.select(
         "id", "path", F.size(terms(F.col("text"))).alias("words"), F.explode(F.split("text", "\n", -1)).alias("line")
-    ).where(ascii_lower(F.col("line")).rlike(ANCHORS))
+    ).where(ascii_lower(F.col("line")).rlike(telling)).where(reaches(F.col("line"), parts_of))
     lines = stage(lines, "licence-lines")
     scored = score_lines(lines.select("line").distinct(), weights, other, templates)
     ranked = lines.join(scored, "line").withColumn("in_line", F.size(terms(F.col("line"))))
