@@ -12,6 +12,7 @@ from wattmill.operators import quantiles as quantile_module
 from wattmill.operators.chatlog import responses_with_hits
 from wattmill.operators.quantiles import grouped_quantiles, order_statistics, quantiles
 from wattmill.operators.running import running_totals
+from wattmill.session import spread
 
 PROBS = [0.0, 0.005, 0.25, 0.5, 0.95, 0.995, 1.0]
 
@@ -176,3 +177,13 @@ def test_reports_fold_copies_once(spark, monkeypatch):
 
     monkeypatch.setattr(K, "drop_copies", again)
     assert sorted(tuple(r) for r in layers.report_silver(spark, "/root/testdata/sf0.001").collect()) == want
+
+
+def test_splits_hold_a_bounded_number_of_rows(spark, tmp_path):
+    spark.range(10_000).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    dealt = spread(rows, 500)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
+    assert len(sizes) == 20 and max(sizes) <= 1_000
+    assert dealt.agg(F.sum("id")).first()[0] == sum(range(10_000))
+    assert spread(rows, 1_000_000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
