@@ -12,6 +12,7 @@ from wattmill.operators import answers as A
 from wattmill.operators import chunking as K
 from wattmill.operators import runs as R
 from wattmill.operators import vectors as V
+from wattmill.plans.catalog.text import whole_run_chunks
 
 
 def apply(spark, expr, values, name="t"):
@@ -195,3 +196,15 @@ def test_timestamp_body_costs_no_square_of_a_line(spark):
     began = time.time()
     assert apply(spark, T.is_low_value, [f"{stamp}\n" + "a" * 60_000]) == [False]
     assert time.time() - began < 6
+
+
+def test_whole_run_chunks_shuffles_runs_not_texts(spark, tmp_path):
+    """Texts are grouped where they are made; runs that share an id, and runs without one, still meet."""
+    rows = [(k, 7 + (k or 0) % 3, "FOP"[i % 3], 1000.5 + i, "1996-01-02", "1-URGENT") for i, k in enumerate([1, 1, 2, 3, None, None])]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/orders.parquet")
+    made = whole_run_chunks(spark, str(tmp_path))
+    moved = [line for line in made._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and all("section" not in line for line in moved)
+    keys = [(r["run_id"], r["section"]) for r in made.collect()]
+    assert len(keys) == len(set(keys)) and len({k for k, _ in keys}) == 4

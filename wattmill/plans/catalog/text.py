@@ -235,8 +235,10 @@ _REST = f"substr(text, {len(_HEAD) + 2})"
     f"WITH {CHUNKS_SQL} SELECT run_id, section, md5({_bare(_REST)}) AS digest, length({_bare(_REST)}) AS chars, TRUE AS bounded FROM parts",
 )
 def whole_run_chunks(spark, sf):
-    """The same for the texts of every run."""
-    return _same_words(R.whole_run_chunks(R.with_best(runs(spark, sf)), PROJECT, EXPERIMENT), ["run_id", "section"], ["piece_no"])
+    """The same for the texts of every run. Runs meet by id before they become texts, so no text is shuffled."""
+    wide = runs_wide(spark, sf)
+    history = R.from_wide(wide.repartition(wide.rdd.getNumPartitions(), "run_id"))
+    return _same_words(R.whole_run_chunks(R.with_best(history), PROJECT, EXPERIMENT), ["run_id", "section"], ["piece_no"])
 
 
 @query("metrics_summary", f"WITH {RUNS_SQL}, {_BEST} SELECT run_id, {_SUMMARY} AS text FROM r")
