@@ -8,6 +8,7 @@ from wattmill.operators import encoding as N
 from wattmill.operators import metrics as M
 from wattmill.operators import models as L
 from wattmill.operators import vectors as V
+from wattmill.session import stage
 
 
 @pytest.fixture(scope="module")
@@ -103,6 +104,51 @@ def test_lasso_optimality(training):
         assert sj == pytest.approx(alpha * np.sign(wj), abs=1e-4) if abs(wj) > 1e-6 else abs(sj) <= alpha + 1e-4
 
 
+def _jobs(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        done = work()
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    return done, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_lasso_reads_its_rows_as_often_as_least_squares(spark, training):
+    df, _, _ = training
+    train = L.assemble(df.where("split = 'train'"), NAMES)
+    _, plain = _jobs(spark, "least-squares", lambda: L.fit(train, L.LINEAR))
+    _, sparse = _jobs(spark, "lasso", lambda: L.fit(train, L.LASSO))
+    assert sparse <= plain
+
+
+def test_scaling_and_encoding_leave_no_scan_in_the_plan_of_a_row(spark, training):
+    df, _, _ = training
+    scaled = N.scale(df, N.fit_scaler(df, NAMES), NAMES)
+    assert "subquery" not in scaled._jdf.queryExecution().toString().lower()
+    rows = df.withColumns({"city": F.lit("x"), "fold": F.lit(0)})
+    assert "subquery" not in N.fold_encode(rows, ["city"])._jdf.queryExecution().toString().lower()
+    told = scaled.agg(F.avg("a"), F.stddev_pop("a")).first()
+    assert told[0] == pytest.approx(0, abs=1e-9) and told[1] == pytest.approx(1)
+
+
+def test_fits_write_their_rows_twice_and_narrow(spark, monkeypatch):
+    from wattmill.plans.catalog import features, learning, models
+
+    written = []
+
+    def kept(df, label):
+        written.append((label, df.columns))
+        return stage(df, label)
+
+    for module in (features, learning, models):
+        monkeypatch.setattr(module, "stage", kept, raising=False)
+    rows = models.training_rows(spark, "/root/testdata/sf0.001")
+    assert [label for label, _ in written] == ["usage-rows", "training-rows"]
+    assert "type_of_connection" not in written[0][1]
+    told = rows.where("split = 'train'").agg(*[F.avg(c) for c in models.FEATURES]).first()
+    assert list(told) == pytest.approx([0] * len(models.FEATURES), abs=1e-9)
+
+
 def test_trees_beat_the_baseline_and_repeat(training):
     df, _, _ = training
     ready = L.assemble(df, NAMES)
