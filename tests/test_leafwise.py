@@ -1,6 +1,7 @@
 """Leaf-wise boosting against a plain best-first grower and brute-force splits."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,36 @@ def test_missing_constant_and_empty(spark, data):
     assert flat.trees == () and set(predicted(flat, df)) == {2.5}
     none = W.fit_leafwise(df.limit(0), names, "y", W.Growth(trees=3))
     assert (none.trees, none.base) == ((), 0.0)
+
+
+def test_passes_predict_only_rows_of_the_asked_nodes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x, y, u = rng.integers(0, 8, size=(500, 2)).astype(np.int16), rng.normal(size=500), rng.integers(-(2**62), 2**62, size=500)
+    tree = W.Tree(*[np.array(a) for a in ([0, -1, 1, -1, -1], [3, -1, 5, -1, -1], [1, -1, 3, -1, -1], [2, -1, 4, -1, -1])], value=np.arange(5.0), gain=np.zeros(5))
+    held, predicted, walked = np.arange(500) % 5 == 0, W._State.predicted, []
+    ends = [1 if a <= 3 else 3 if b <= 5 else 4 for a, b in x]
+    assert tree.landed(x).tolist() == ends
+
+    class Rows:
+        def mapInArrow(self, work, schema):
+            self.work = work
+            return self
+
+        def groupBy(self, *by):
+            return self
+
+        agg = groupBy
+
+        def toPandas(self):
+            return pa.Table.from_batches(self.work([W._batch(x, pa.array(y), np.zeros(500), pa.array(u), pa.array(held))])).to_pandas()
+
+    monkeypatch.setattr(W._State, "predicted", lambda self, before, bins: walked.append(len(bins)) or predicted(self, before, bins))
+    told = W._sums(Rows(), W._State(0.0, 0.5, [tree]), tree, [3], 2, 8, W.Growth(), 0, False)
+    rest = [(y[i] - 0.5 * 3, *x[i]) for i in range(500) if ends[i] == 3 and not held[i]]
+    assert walked == [len(rest)]
+    for f in range(2):
+        own = told[told["feature"] == f].set_index("bin")
+        assert own["n"].sum() == len(rest) and set(told["node"]) == {3}
+        for b in range(8):
+            here = [r[0] for r in rest if r[1 + f] == b]
+            assert (own["s"].get(b, 0.0), own["n"].get(b, 0)) == (pytest.approx(sum(here)), len(here))
