@@ -149,6 +149,20 @@ def test_fits_write_their_rows_twice_and_narrow(spark, monkeypatch):
     assert list(told) == pytest.approx([0] * len(models.FEATURES), abs=1e-9)
 
 
+def test_experiment_writes_model_rows_once(spark, monkeypatch):
+    from wattmill.plans import experiment
+    from wattmill.plans.views import usage
+
+    written = {}
+    monkeypatch.setattr(experiment, "stage", lambda df, label: written.setdefault(label, stage(df, label)))
+    rows, names = experiment.model_rows(usage(spark, "/root/testdata/sf0.001"))
+    assert list(written) == ["target-rows", "split-rows", "model-rows"]
+    assert written["model-rows"].columns == ["row_id", "split", "log_target", *names] == rows.columns
+    assert "type_of_connection" not in written["split-rows"].columns
+    told = rows.where("split = 'train'").agg(*[F.avg(c) for c in names]).first()
+    assert list(told) == pytest.approx([0] * len(names), abs=1e-6)
+
+
 def test_trees_beat_the_baseline_and_repeat(training):
     df, _, _ = training
     ready = L.assemble(df, NAMES)
