@@ -85,3 +85,28 @@ def test_patience_grows_every_tree_once(data, monkeypatch):
     monkeypatch.setattr(V, "_grown_tree", lambda *a: made.append(a[-1]) or grown_tree(*a))
     done = B.fit_patient(df.where("id % 4 <> 0"), df.where("id % 4 = 0"), L.TRAINING_GBT.but(trees=300, rate=0.5, depth=3), patience=5)
     assert made == list(range(done.grown)) and done.grown == done.best + 5
+
+
+class Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    "plan, settings",
+    [(models.fit_gbt, L.TRAINING_GBT)],
+)
+def test_queries_fit_the_whole_preset_on_all_training_rows(spark, monkeypatch, plan, settings):
+    fit, told = L.fit, []
+
+    def seen(df, chosen, *args, **kwargs):
+        if chosen.algorithm != settings.algorithm:
+            return fit(df, chosen, *args, **kwargs)
+        told.append(chosen)
+        raise Seen
+
+    monkeypatch.setattr(L, "fit", seen)
+    monkeypatch.setattr(L, "FOREST_ROWS", 10)
+    monkeypatch.setattr(models.S, "sample_rows", None)
+    with pytest.raises(Seen):
+        plan(spark, "/root/testdata/sf0.001")
+    assert told == [settings]
