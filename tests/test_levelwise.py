@@ -93,7 +93,7 @@ class Seen(Exception):
 
 @pytest.mark.parametrize(
     "plan, settings",
-    [(models.fit_gbt, L.TRAINING_GBT), (layers.medallion, L.TRAINING_GBT), (models.experiment, L.EARLY_STOP_GBT)],
+    [(models.fit_gbt, L.TRAINING_GBT), (layers.medallion, L.TRAINING_GBT), (models.experiment, L.EARLY_STOP_GBT), (models.fit_forest, L.FOREST)],
 )
 def test_queries_fit_the_whole_preset_on_all_training_rows(spark, monkeypatch, plan, settings):
     fit, told = L.fit, []
