@@ -180,11 +180,14 @@ UNION ALL SELECT 'mlflow:' || run_id || ':' || section, {sql_cut_at_word('text')
 
 @query("index_build", INDEX_SQL)
 def index_build(spark, sf):
-    """All runs, then documents and all runs, to embedded chunks, each written replace-all; readers see the last."""
+    """All runs, then documents and all runs, to embedded chunks, each written replace-all; readers see the last.
+
+    The chunks of the runs are embedded once: the second version takes them from the first.
+    """
     root = scratch_path(spark, "index")
     docs, history = markdown_docs(spark, sf), R.from_wide(runs_wide(spark, sf))
     W.replace_all(indexing.build_index(None, history, PROJECT, EXPERIMENT), root)
-    W.replace_all(indexing.build_index(docs, history, PROJECT, EXPERIMENT), root)
+    W.replace_all(indexing.build_index(docs, None, PROJECT, EXPERIMENT).unionByName(W.read_current(spark, root)), root)
     return W.read_current(spark, root).select("id", "text", "source", F.size("text_vector").alias("dim"))
 
 
