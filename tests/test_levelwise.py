@@ -71,11 +71,16 @@ def test_executors_grow_what_the_driver_grows(data, monkeypatch):
         assert a.feature.tolist() == b.feature.tolist() and a.bin.tolist() == b.bin.tolist() and a.q == pytest.approx(b.q)
 
 
-def test_missing_values_go_where_the_model_sends_them(data):
+def test_missing_features_are_refused_in_training_rows_only(data):
     x, y, df = data
     odd = L.assemble(df.select("id", "log_target", "b", "c", F.when(F.col("id") % 3 > 0, F.col("a")).alias("a")), NAMES)
-    grown = V.grow(odd, odd, L.TRAINING_GBT.but(trees=5, depth=3, rate=0.5).values, "log_target")
-    model = V.as_model(df.sparkSession, grown, L.boosted(L.TRAINING_GBT.but(rate=0.5).values, "log_target"))
+    settings = L.TRAINING_GBT.but(trees=5, depth=3, rate=0.5)
+    with pytest.raises(Exception, match="finite"):
+        L.fit(odd, settings)
+    with pytest.raises(Exception, match="finite"):
+        L.fit(df.select("features", "log_target", "id").unionByName(odd.select("features", "log_target", "id")).withColumn("held", F.col("id") % 3 == 0), settings, validation="held")
+    grown = V.grow(df, odd, settings.values, "log_target")
+    model = V.as_model(df.sparkSession, grown, L.boosted(settings.values, "log_target"))
     assert np.mean((y - predicted(model, odd)) ** 2) == pytest.approx(grown.errors[-1], rel=1e-9)
 
 
